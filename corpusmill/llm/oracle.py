@@ -50,6 +50,21 @@ with valid as (
 )
 """
 
+_BLANK = r"[\x09\x0B-\x0D \x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_LINES = f"""
+with docs as (
+  select doc_id, text, case when url is null then source else regexp_replace({_HOST.format("url")}, '^(?:www\\.|m\\.)', '') end as site from documents
+), raw as (
+  select doc_id, site, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as line_no
+  from docs where text is not null and site is not null
+), lines as (
+  select doc_id, site, line_no, regexp_replace(trim(regexp_replace(lower(line), '{_BLANK}+', ' ', 'g')), '[0-9]+', '0', 'g') as line from raw
+), found as (
+  select doc_id, line_no from lines
+  where line <> '' and (site, line) in (select (site, line) from lines where line <> '' group by site, line having count(distinct doc_id) >= 5)
+)
+"""
+
 SQL: dict[str, str] = {
     "p1_found": _P1.replace("@columns", "attr, item"),
     "p1_counts": _P1.replace("@columns", "attr, item, n, total"),
@@ -57,4 +72,14 @@ SQL: dict[str, str] = {
     "p4_found": _P4_CUTS + "select distinct v.pred_id from valid v join cuts c on v.domain = c.domain where v.prob >= c.cutoff",
     "p4_cutoffs": _P4_CUTS
     + "select c.domain, c.n, c.target, c.cutoff, count(v.prob) as kept from cuts c left join valid v on v.domain = c.domain and v.prob >= c.cutoff group by c.domain, c.n, c.target, c.cutoff",
+    "p5_found": _LINES + "select * from found",
+    "p5_clean": _LINES
+    + """
+, kept as (
+  select r.doc_id, string_agg(r.line, chr(10) order by r.line_no) as text from raw r
+  where not exists (select 1 from found f where f.doc_id = r.doc_id and f.line_no = r.line_no) group by r.doc_id
+)
+select d.doc_id, case when d.text is null or d.site is null then d.text else coalesce(k.text, '') end as text from docs d left join kept k using (doc_id)
+""",
+    "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import urls
-from corpusmill.llm import cutoff, frequent, seen
+from corpusmill.llm import boilerplate, cutoff, frequent, leak, seen, tokens
 from corpusmill.sources.tables import load
 
 
@@ -61,4 +61,46 @@ def p4_cutoffs(spark: SparkSession, directory: str) -> DataFrame:
     return cutoff.cutoffs(_scores(spark, directory), _targets(spark, directory)).withColumnRenamed("source", "domain")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p3_found, p3_errors, p4_found, p4_cutoffs)}
+def site_documents(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, site, day, text) of the documents."""
+    docs = load(spark, directory, "documents")
+    return docs.select("doc_id", urls.site_of(F.col("url"), F.col("source")).alias("site"), F.to_date("fetched_at").alias("day"), "text")
+
+
+def p5_found(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, line_no): lines that at least five documents of their site hold."""
+    return boilerplate.boilerplate(site_documents(spark, directory))
+
+
+def p5_clean(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, text): every document's text without the lines of p5_found."""
+    docs = site_documents(spark, directory)
+    return boilerplate.without_lines(docs, boilerplate.boilerplate(docs)).select("doc_id", "text")
+
+
+def p8_ids(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, ids): every document's text in the vocabulary byte_bpe_50k."""
+    return tokens.encode(load(spark, directory, "documents"))
+
+
+def p8_decoded(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, text): the texts again, decoded from p8_ids; null has become the empty text."""
+    return tokens.decode(p8_ids(spark, directory), tokens.token_table(spark))
+
+
+def p9_found(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, item_id): documents that hold at least 12 consecutive words of an evaluation item."""
+    return leak.phrases(leak.build_index(load(spark, directory, "documents")), load(spark, directory, "benchmark"))
+
+
+def p9_near(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, item_id, terms): documents with most of an item's rarest terms close together."""
+    return leak.near_matches(leak.build_index(load(spark, directory, "documents")), load(spark, directory, "benchmark"))
+
+
+def p9_items(spark: SparkSession, directory: str) -> DataFrame:
+    """(item_id, docs): the leaked items and the number of documents that hold them."""
+    return p9_found(spark, directory).groupBy("item_id").agg(F.count(F.lit(1)).alias("docs"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p3_found, p3_errors, p4_found, p4_cutoffs, p5_found, p5_clean, p8_ids, p8_decoded, p9_found, p9_near, p9_items)}
