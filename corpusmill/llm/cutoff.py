@@ -43,25 +43,22 @@ def cutoffs(valid: DataFrame, targets: DataFrame, default: str = "*") -> DataFra
     for all others, and a source without any target keeps nothing. target =
     ceil(keep_pct * n / 100); cutoff is the highest score that keeps at least
     so many records (ties at the cutoff are all kept), null if target is 0.
-    A keep_pct above 100 keeps all, a negative or null one nothing.
+    A keep_pct above 100 keeps all, a negative one nothing; a null one counts as
+    not listed.
     """
     bucket = F.least(F.floor(F.col("score") / TOP * BUCKETS), F.lit(BUCKETS - 1))
     scores = valid.groupBy("source", "score").agg(F.count(F.lit(1)).alias("c"), F.max("rec").alias("last_rec")).withColumn("bucket", bucket)
     buckets = scores.groupBy("source", "bucket").agg(F.sum("c").alias("in_bucket"))
     downwards = Window.partitionBy("source").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
-    placed = buckets.withColumn("upto", F.sum("in_bucket").over(downwards)).withColumn("n", F.sum("in_bucket").over(Window.partitionBy("source")))
-
-    listed = targets.where(F.col("source") != default).select("source", F.col("keep_pct").alias("own_pct"), F.lit(True).alias("listed"))
-    rest = targets.where(F.col("source") == default).agg(F.max("keep_pct").alias("default_pct")).withColumn("one", F.lit(1))
-    pct = F.when(F.col("listed"), F.col("own_pct")).otherwise(F.col("default_pct"))
-    placed = (
-        placed.join(listed, "source", "left")
-        .withColumn("one", F.lit(1))
-        .join(F.broadcast(rest), "one", "left")  # one row
-        .withColumn("pct", F.greatest(F.least(F.coalesce(pct, F.lit(0)), F.lit(100)), F.lit(0)))
-        .withColumn("target", F.floor((F.col("pct") * F.col("n") + 99) / 100))
-        .select("source", "bucket", "in_bucket", "upto", "n", "target")
-    )
+    placed = buckets.withColumn("upto", F.sum("in_bucket").over(downwards))
+    # each source looks for its own target first, then for the default one
+    sizes = buckets.groupBy("source").agg(F.sum("in_bucket").alias("n"))
+    wanted = sizes.select("source", "n", F.posexplode(F.array_distinct(F.array("source", F.lit(default)))).alias("rank", "key"))
+    named = targets.select(F.col("source").alias("key"), "keep_pct")
+    aimed = wanted.join(named, "key", "left").groupBy("source", "n").agg(F.min_by("keep_pct", F.when(F.col("keep_pct").isNotNull(), F.col("rank"))).alias("pct"))
+    pct = F.greatest(F.least(F.coalesce("pct", F.lit(0)), F.lit(100)), F.lit(0))
+    aimed = aimed.select("source", "n", F.floor((pct * F.col("n") + 99) / 100).alias("target"))
+    placed = placed.join(aimed, "source").select("source", "bucket", "in_bucket", "upto", "n", "target")
     critical = placed.where((F.col("target") > 0) & (F.col("upto") >= F.col("target")) & (F.col("upto") - F.col("in_bucket") < F.col("target")))
     inside = Window.partitionBy("source", "bucket").orderBy(F.desc("score"), "last_rec").rowsBetween(Window.unboundedPreceding, 0)
     position = (

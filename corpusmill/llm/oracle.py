@@ -40,7 +40,7 @@ with valid as (
 ), sized as (
   select v.*, count(*) over (partition by v.domain) as n from valid v
 ), aimed as (
-  select s.*, (coalesce(t.keep_pct, case when t.domain is null then d.keep_pct end, 0) * n + 99) // 100 as target
+  select s.*, (coalesce(t.keep_pct, d.keep_pct, 0) * n + 99) // 100 as target
   from sized s left join (select * from keep_targets where domain <> '*') t on t.domain = s.domain
   left join (select * from keep_targets where domain = '*') d on true
 ), placed as (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import urls
-from corpusmill.llm import boilerplate, cutoff, frequent, leak, seen, tokens
+from corpusmill.llm import boilerplate, cutoff, frequent, langid, leak, seen, tokens
 from corpusmill.sources.tables import load
 
 
@@ -41,6 +41,34 @@ def p3_errors(spark: SparkSession, directory: str) -> DataFrame:
     return seen.error_report(seen.answers(_arrivals(spark, directory)))
 
 
+def _texts(spark: SparkSession, directory: str) -> DataFrame:
+    """(tbl, id, text, label) of documents and filtered_corpus."""
+    docs = load(spark, directory, "documents").select(F.lit("documents").alias("tbl"), F.col("doc_id").cast("string").alias("id"), "text", F.col("lang").alias("label"))
+    corpus = load(spark, directory, "filtered_corpus").select(F.lit("filtered_corpus").alias("tbl"), "id", "text", F.try_element_at("metadata", F.lit("language")).alias("label"))
+    return docs.unionByName(corpus)
+
+
+def _segments(spark: SparkSession, directory: str) -> DataFrame:
+    """SEGMENTS with tbl and the declared label of the row."""
+    texts = _texts(spark, directory)
+    model = langid.fit(texts.select(F.concat_ws(":", "tbl", "id").alias("id"), "text", "label"))
+    # the row's table and label travel in its id, so that no join is needed to get them back
+    packed = F.to_json(F.struct("tbl", "id", langid.primary_label(F.col("label")).alias("label")))
+    found = langid.segments(texts.select(packed.alias("id"), "text"), model)
+    return found.select(F.from_json("id", "tbl string, id string, label string").alias("r"), "seg_no", "lang", "confidence").select("r.*", "seg_no", "lang", "confidence")
+
+
+def p2_found(spark: SparkSession, directory: str) -> DataFrame:
+    """(tbl, id, seg_no, lang): missing or wrong labels (seg_no -1) and lines in another language."""
+    found = _segments(spark, directory).where((F.col("seg_no") >= 0) | ~F.col("label").eqNullSafe(F.col("lang")))
+    return found.select("tbl", "id", "seg_no", "lang").distinct()
+
+
+def p2_labels(spark: SparkSession, directory: str) -> DataFrame:
+    """(tbl, id, seg_no, lang, confidence): the language of every text and deviating line."""
+    return _segments(spark, directory).groupBy("tbl", "id", "seg_no", "lang").agg(F.max("confidence").alias("confidence"))
+
+
 def _scores(spark: SparkSession, directory: str) -> DataFrame:
     rows = load(spark, directory, "predictions")
     return cutoff.valid_records(rows, F.col("pred_id"), urls.domain_of(F.col("domain"), F.col("url")), F.col("prob"))
@@ -103,4 +131,4 @@ def p9_items(spark: SparkSession, directory: str) -> DataFrame:
     return p9_found(spark, directory).groupBy("item_id").agg(F.count(F.lit(1)).alias("docs"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p3_found, p3_errors, p4_found, p4_cutoffs, p5_found, p5_clean, p8_ids, p8_decoded, p9_found, p9_near, p9_items)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_errors, p4_found, p4_cutoffs, p5_found, p5_clean, p8_ids, p8_decoded, p9_found, p9_near, p9_items)}
