@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import urls
-from corpusmill.llm import boilerplate, cutoff, frequent, langid, leak, seen, tokens
+from corpusmill.llm import boilerplate, cutoff, frequent, langid, leak, seen, spam, textstats, tokens
 from corpusmill.sources.tables import load
 
 
@@ -106,6 +106,16 @@ def p5_clean(spark: SparkSession, directory: str) -> DataFrame:
     return boilerplate.without_lines(docs, boilerplate.boilerplate(docs)).select("doc_id", "text")
 
 
+def p7_found(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id): documents that are mostly lists, tables, stuffing or junk instead of sentences."""
+    return p7_stats(spark, directory).where("not_prose").select("doc_id")
+
+
+def p7_stats(spark: SparkSession, directory: str) -> DataFrame:
+    """Statistics of every document with text; see textstats.statistics."""
+    return textstats.statistics(textstats.sums(load(spark, directory, "documents")))
+
+
 def p8_ids(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id, ids): every document's text in the vocabulary byte_bpe_50k."""
     return tokens.encode(load(spark, directory, "documents"))
@@ -131,4 +141,14 @@ def p9_items(spark: SparkSession, directory: str) -> DataFrame:
     return p9_found(spark, directory).groupBy("item_id").agg(F.count(F.lit(1)).alias("docs"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_errors, p4_found, p4_cutoffs, p5_found, p5_clean, p8_ids, p8_decoded, p9_found, p9_near, p9_items)}
+def p10_found(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id): pages that are mostly search keywords, links or product tags."""
+    return spam.stuffed(p10_pages(spark, directory)).select("doc_id")
+
+
+def p10_pages(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, chars, covered, clauseless, spam_share) of every document with text."""
+    return spam.measure(load(spark, directory, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_errors, p4_found, p4_cutoffs, p5_found, p5_clean, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}
