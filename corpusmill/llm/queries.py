@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import urls
-from corpusmill.llm import boilerplate, cutoff, frequent, langid, leak, seen, spam, textstats, tokens
+from corpusmill.llm import boilerplate, cutoff, frequent, langid, leak, seen, spam, subjects, textstats, tokens
 from corpusmill.sources.tables import load
 
 
@@ -106,6 +106,25 @@ def p5_clean(spark: SparkSession, directory: str) -> DataFrame:
     return boilerplate.without_lines(docs, boilerplate.boilerplate(docs)).select("doc_id", "text")
 
 
+def p6_found(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, subject): the subjects that at least a third of a document's units are about."""
+    return subjects.assigned(p6_scores(spark, directory)).select("doc_id", "subject")
+
+
+def p6_scores(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, subject, about, judged, units, chars): units by subject, lines of p5_found left aside."""
+    docs = site_documents(spark, directory)
+    names = [r.subject for r in load(spark, directory, "subjects").select("subject").sort("subject").collect()]  # the subject areas
+    model = subjects.fit(docs, load(spark, directory, "subject_labels"), names)
+    return subjects.scores(boilerplate.without_lines(docs, boilerplate.boilerplate(docs)), model)
+
+
+def p6_mix(spark: SparkSession, directory: str) -> DataFrame:
+    """(subject, docs, units): how much of the corpus is about each subject."""
+    found = subjects.assigned(p6_scores(spark, directory))
+    return found.groupBy("subject").agg(F.count(F.lit(1)).alias("docs"), F.sum("about").alias("units"))
+
+
 def p7_found(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id): documents that are mostly lists, tables, stuffing or junk instead of sentences."""
     return p7_stats(spark, directory).where("not_prose").select("doc_id")
@@ -151,4 +170,4 @@ def p10_pages(spark: SparkSession, directory: str) -> DataFrame:
     return spam.measure(load(spark, directory, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_errors, p4_found, p4_cutoffs, p5_found, p5_clean, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_errors, p4_found, p4_cutoffs, p5_found, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}
