@@ -10,7 +10,7 @@ selling words and repeats, or of repeats nearly throughout.
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,24 +28,38 @@ SELLING_COVERED, COVERED = 0.25, 0.85
 STRETCH = 250_000
 MIN_CHARS, SPAM_SHARE = 30, 0.5
 
-_TOKEN = re.compile(r"[㐀-䶿一-鿿]|[^\W_㐀-䶿一-鿿]+")
 _PAGE = "doc_id long, chars long, covered double, clauseless double, spam_share double"
 
 
 def repeats(words: list[str]) -> np.ndarray:
-    """For each word, the length of the longest run ending there that stands elsewhere too."""
+    """For each word, the length of the longest run ending there that stands elsewhere too.
+
+    A word that stands once is in no repeated run, so the automaton is built
+    over the stretches between such words.
+    """
+    times = Counter(words)
     follow: list[dict[str, int]] = [{}]
     link, length = [-1], [0]
     last, ends = 0, []
     for w in words:
-        new = len(follow)
-        follow.append({})
-        length.append(length[last] + 1)
-        link.append(0)
+        if times[w] == 1:
+            last = 0
+            ends.append(0)
+            continue
+        known = follow[last].get(w)
+        if known is not None and length[known] == length[last] + 1:
+            last = known  # this stretch runs along an earlier one
+            ends.append(last)
+            continue
         p = last
-        while p >= 0 and w not in follow[p]:
-            follow[p][w] = new
-            p = link[p]
+        if known is None:
+            new = len(follow)
+            follow.append({})
+            length.append(length[last] + 1)
+            link.append(0)
+            while p >= 0 and w not in follow[p]:
+                follow[p][w] = new
+                p = link[p]
         if p >= 0:
             q = follow[p][w]
             if length[p] + 1 == length[q]:
@@ -58,14 +72,20 @@ def repeats(words: list[str]) -> np.ndarray:
                 while p >= 0 and follow[p].get(w) == q:
                     follow[p][w] = copy
                     p = link[p]
-                link[q] = link[new] = copy
+                link[q] = copy
+                if known is None:
+                    link[new] = copy
+                else:
+                    new = copy
         last = new
         ends.append(new)
+    if not ends:
+        return np.zeros(0, np.int64)
     state, links, lengths = np.array(ends, np.int64), np.array(link, np.int64), np.array(length, np.int64)
-    # a state that others link to ends in more places than its own prefix
-    parent = np.zeros(len(links), bool)
-    parent[links[1:]] = True
-    return np.where(parent[state], lengths[state], lengths[np.maximum(links[state], 0)]) if ends else np.zeros(0, np.int64)
+    # a state that was reached twice, or that others link to, ends in several places
+    several = np.bincount(state, minlength=len(links)) > 1
+    several[links[1:]] = True
+    return np.where(several[state], lengths[state], lengths[np.maximum(links[state], 0)])
 
 
 def covered(words: list[str], run: int = RUN) -> np.ndarray:
@@ -83,18 +103,19 @@ def page(text: str) -> tuple[int, float, float, float]:
     parts = units.units_of(text)
     if not parts:
         return 0, 0.0, 0.0, 0.0
-    words, counts = [], []
+    words, counts, kinds = [], [], []
     for u in parts:
-        found = _TOKEN.findall(u.lower())
+        kind, found, _ = units.judge(u)
         words += found
         counts.append(len(found))
-    sizes = np.array([len(w) for w in words], np.float64)
+        kinds.append(kind)
+    sizes = np.array(list(map(len, words)), np.float64)
     upto = np.concatenate(([0], np.cumsum(counts)))
     sums = np.concatenate(([0.0], np.cumsum(sizes)))
     hits = np.concatenate(([0.0], np.cumsum(sizes * covered(words))))
     share = (hits[upto[1:]] - hits[upto[:-1]]) / np.maximum(sums[upto[1:]] - sums[upto[:-1]], 1)
     chars = np.array([len(u.strip()) for u in parts], np.float64)
-    kind = np.array([units.kind_of(u) for u in parts])
+    kind = np.array(kinds)
     bare = kind != units.SENTENCE
     spam = (kind == units.LINKS) | (kind == units.TAGS) | ((kind == units.SELLING) & (share >= SELLING_COVERED))
     spam |= bare & (share >= COVERED) & (np.array(counts) >= 4) & (kind != units.JUNK)

@@ -60,7 +60,9 @@ BREAK = re.compile(r"(?<=[.!?])[\"”»)]*[ \t\r\xa0]+|(?<=[。！？；])|[\n;|
 LINK = re.compile(r"https?://|www\.|</?a[ >]|\]\(|»|>>|(?<![\w@.])[a-z0-9\-]+(?:\.[a-z0-9\-]+)*\.[a-z]{2,}/[\w\-]+", re.IGNORECASE)
 TAG = re.compile(r"(?<!\w)#\w{4,}|\bSKU[- ]?\d")
 _LETTER = re.compile(r"[^\W\d_]")
-_ITEM = re.compile(r"\s*(?:[-•*·–]|\(?\d{1,3}[.)])\s|.*\w/\w")
+#: What a unit with a link has in it at least; tells cheaply that there is none.
+_MAY_LINK = re.compile(r"[/»]|>>|www\.", re.IGNORECASE)
+_ITEM = re.compile(r"\s*(?:[-•*·–]|\(?\d{1,3}[.)])\s|[^/]*\w/\w")
 _STOP = re.compile(r"[.!?。！？:][\"'”»)\]]*\s*$")
 
 SENTENCE, HEADING, ITEM, LINKS, TAGS, SELLING, JUNK = range(7)
@@ -70,22 +72,23 @@ KINDS = ("sentence", "heading", "item", "links", "tags", "selling", "junk")
 SMALL_SHARE, SENTENCE_WORDS, LONG_WORDS = 0.17, 5, 9
 
 
-def kind_of(unit: str) -> int:
-    """What a unit is; see KINDS. Depends on nothing but the unit."""
+def judge(unit: str) -> tuple[int, list[str], int]:
+    """(kind, words, common) of a unit: its kind, lower-case words (Han characters one by one) and how many are common.
+
+    Depends on nothing but the unit.
+    """
     low = unit.lower()
     words = WORD.findall(low)
     n = len(words)
     letters = sum(map(len, words))
-    han = len(HAN.findall(low)) if low and max(low) >= "㐀" else 0
-    if han >= 4 and han * 2 >= letters:
-        clause = sum(c in CLAUSE_HAN for c in low)
-        enough = clause >= 1 and low.rstrip()[-1] in "。！？；" if han < 20 else clause >= 2 and clause >= 0.05 * han
-        if han >= 6 and enough and "/" not in low:
-            return SENTENCE
-        return LINKS if LINK.search(unit) else TAGS if TAG.search(unit) else SELLING if SELLING_HAN.search(low) else ITEM if "/" in low or "、" in low else HEADING
-    clause = sum(w in CLAUSE_WORDS for w in words)
-    selling = sum(w in SELLING_WORDS for w in words)
-    small = clause + sum(w in SMALL_WORDS for w in words)
+    if not low.isascii():
+        chars = HAN.findall(low)
+        han = len(chars)
+        if han >= 4 and han * 2 >= letters:
+            return _judge_han(unit, low, han), chars, sum(map(CLAUSE_HAN.__contains__, low))
+    clause = sum(map(CLAUSE_WORDS.__contains__, words))
+    selling = sum(map(SELLING_WORDS.__contains__, words))
+    small = common = clause + sum(map(SMALL_WORDS.__contains__, words))
     if selling:  # small words inside selling phrases join no clauses
         if "ligne" in words or "línea" in words:
             phrase = words.count("en")
@@ -93,23 +96,43 @@ def kind_of(unit: str) -> int:
         if "cher" in words:
             phrase = words.count("pas")
             small, clause = small - phrase, clause - phrase
-    prose = n >= SENTENCE_WORDS and small >= SMALL_SHARE * n and letters >= 0.55 * len(unit.replace(" ", ""))
+    visible = len(unit) - unit.count(" ")
+    links = _MAY_LINK.search(unit) and LINK.search(unit)
+    prose = n >= SENTENCE_WORDS and small >= SMALL_SHARE * n and letters >= 0.55 * visible
     if prose and selling and (clause <= 0 and (selling >= 2 or n <= 12) or selling >= 0.15 * n and clause <= 0.05 * n):
         prose = False
-    if prose:
-        ends, item = _STOP.search(unit) is not None, _ITEM.match(unit) is not None
-        if not LINK.search(unit) and (n >= LONG_WORDS if item else ends or n >= LONG_WORDS or (clause >= 1 and n >= 6)):
-            return SENTENCE
-    if LINK.search(unit):
+    if prose and not links:
+        if n >= LONG_WORDS or not _ITEM.match(unit) and (clause >= 1 and n >= 6 or _STOP.search(unit)):
+            return SENTENCE, words, common
+    if links:
         # a link inside a sentence doesn't make it a link list
-        return SENTENCE if prose and n >= LONG_WORDS and clause and len(LINK.findall(unit)) == 1 else LINKS
-    if TAG.search(unit) and len(_LETTER.findall(unit)) >= 0.4 * len(unit.replace(" ", "")):
-        return TAGS
+        return SENTENCE if prose and n >= LONG_WORDS and clause and len(LINK.findall(unit)) == 1 else LINKS, words, common
+    if ("#" in unit or "SKU" in unit) and TAG.search(unit) and len(_LETTER.findall(unit)) >= 0.4 * visible:
+        return TAGS, words, common
     if selling and small <= SMALL_SHARE * n + 1:
+        return SELLING, words, common
+    if letters < 0.5 * visible or unreadable(words, letters):
+        return JUNK, words, common
+    return ITEM if _ITEM.match(unit) or not prose and n > 14 else HEADING, words, common
+
+
+def _judge_han(unit: str, low: str, han: int) -> int:
+    clause = sum(map(CLAUSE_HAN.__contains__, low))
+    enough = clause >= 1 and low.rstrip()[-1] in "。！？；" if han < 20 else clause >= 2 and clause >= 0.05 * han
+    if han >= 6 and enough and "/" not in low:
+        return SENTENCE
+    if LINK.search(unit):
+        return LINKS
+    if TAG.search(unit):
+        return TAGS
+    if SELLING_HAN.search(low):
         return SELLING
-    if letters < 0.5 * len(unit.replace(" ", "")) or unreadable(words, letters):
-        return JUNK
-    return ITEM if _ITEM.match(unit) or prose is False and n > 14 else HEADING
+    return ITEM if "/" in low or "、" in low else HEADING
+
+
+def kind_of(unit: str) -> int:
+    """What a unit is; see KINDS."""
+    return judge(unit)[0]
 
 
 _VOWELS = re.compile(r"[aeiouyàáâãäåæèéêëìíîïòóôõöøùúûüœ]")
