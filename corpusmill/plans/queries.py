@@ -2,4 +2,625 @@
 
 from __future__ import annotations
 
-QUERIES = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpusmill.functions import hashing, labels, text, urls
+from corpusmill.operators import classifier, components, dedup, filters, judge, language, masking, minhash, quality, registry, sampling, segment, stats
+from corpusmill.scratch import shared_dir
+from corpusmill.sources import readers, writers
+from corpusmill.sources.tables import load
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+SEED = 42
+FILE_ROWS, SHARD_ROWS = 150, 40
+
+
+def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[function.__name__] = function
+    return function
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return load(spark, d, "documents")
+
+
+def _of_docs(name: str, expression: Callable[[], Column]) -> None:
+    """A query (doc_id, value) of one expression over documents."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return _docs(spark, d).select("doc_id", expression().alias("value"))
+
+    run.__name__, run.__doc__ = name, f"(doc_id, value): {name} of every document."
+    QUERIES[name] = run
+
+
+_of_docs("clean_text", lambda: text.clean_text(F.col("text")))
+_of_docs("clean_whitespace", lambda: text.clean_whitespace(F.col("text")))
+_of_docs("flatten_newlines", lambda: text.flatten_newlines(F.col("text")))
+_of_docs("clean_filename", lambda: text.clean_filename(F.col("url")))
+_of_docs("truncate_text", lambda: text.truncate_text(F.col("text"), 500))
+_of_docs("word_count", lambda: text.word_count(F.col("text")))
+_of_docs("dedup_hash_md5", lambda: hashing.row_md5(F.col("url"), F.col("text")))
+_of_docs("dedup_hash_sha", lambda: hashing.row_sha(F.col("url"), F.col("text")))
+_of_docs("label_lines", lambda: labels.label_line(F.lit(1), F.col("text")))
+_of_docs("fqdn", lambda: urls.fqdn(F.col("url")))
+_of_docs("mask_addresses", lambda: masking.mask_addresses(F.col("text")))
+_of_docs("html_text", lambda: masking.html_text(F.col("text")))
+
+
+@query
+def minimum_slice(spark, d):
+    """Documents by language after length filter, cleaning and dedup."""
+    rows = filters.length_filter(_docs(spark, d)).select("lang", text.clean_text(F.col("text")).alias("clean")).where("clean <> ''")
+    return rows.distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+
+
+# --- sources and sinks ---
+
+
+def _table_of_docs(spark, d):
+    return _docs(spark, d).select("doc_id", "url", "text", "lang")
+
+
+def _fresh(spark, name: str) -> str:
+    import uuid
+
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def scan_roundtrip_csv(spark, d):
+    """Documents written as CSV and read again; texts span lines and hold quotes."""
+    df, path = _table_of_docs(spark, d).where("text is not null and text <> ''"), _fresh(spark, "csv")
+    writers.write(df, path, "csv")
+    return readers.read_csv(spark, path, df.schema).select("doc_id", F.length("text").alias("chars"), F.md5("text").alias("digest"))
+
+
+@query
+def scan_roundtrip_jsonl(spark, d):
+    """Documents written as gzip JSON lines and read again."""
+    df, path = _table_of_docs(spark, d), _fresh(spark, "jsonl")
+    writers.write(df, path, "jsonl", compression="gzip")
+    return readers.read_jsonl(spark, path, df.schema)
+
+
+@query
+def scan_roundtrip_zst(spark, d):
+    """Documents written as .jsonl.zst files and read again."""
+    df, path = _table_of_docs(spark, d), _fresh(spark, "zst")
+    writers.write(df, path, "jsonl", compression="zstd")
+    return readers.read_jsonl(spark, path, df.schema, glob="*.jsonl.zst")
+
+
+@query
+def scan_bad_json(spark, d):
+    """(good, bad): rows read and bad lines set aside from JSON lines of which every tenth is cut short."""
+    path = _fresh(spark, "bad-json")
+    line = F.to_json(F.struct("doc_id", "lang"))
+    _docs(spark, d).select(F.when(F.col("doc_id") % 10 == 0, F.substring(line, 1, 8)).otherwise(line).alias("value")).write.text(path)
+    good, bad = readers.read_jsonl_tolerant(spark, path, T.StructType.fromDDL("doc_id long, lang string"))
+    return good.select(F.lit("good").alias("kind")).unionByName(bad.select(F.lit("bad").alias("kind"))).groupBy("kind").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def scan_bad_rows(spark, d):
+    """(doc_id): rows of a CSV that survive when every tenth has a bad number."""
+    path = _fresh(spark, "bad-csv")
+    number = F.when(F.col("doc_id") % 10 == 0, F.lit("x")).otherwise(F.col("doc_id").cast("string"))
+    _docs(spark, d).select(number.alias("doc_id"), "source").write.csv(path, header=True)
+    return readers.read_csv(spark, path, "doc_id long, source string", tolerant=True).select("doc_id")
+
+
+@query
+def label_line_roundtrip(spark, d):
+    """(ok, label, lines, chars): label lines written as text, read and parsed."""
+    path = _fresh(spark, "labels")
+    writers.write_label_lines(_docs(spark, d).select((F.col("doc_id") % 2).alias("label"), "text"), path)
+    parsed = readers.parse_label_lines(spark.read.text(path))
+    return parsed.groupBy("ok", "label").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def parse_label_lines(spark, d):
+    """(label, text, ok) of lines made from the documents, good and bad."""
+    line = F.when(F.col("doc_id") % 7 == 0, F.lit("x y")).when(F.col("doc_id") % 11 == 0, F.lit("__label__0")).otherwise(F.concat(F.lit("__label__1 "), F.col("source"), F.lit(" "), F.col("lang")))
+    return readers.parse_label_lines(_docs(spark, d).select(line.alias("value")))
+
+
+@query
+def file_chunk_assign(spark, d):
+    """(doc_id, file_no): numbered files of FILE_ROWS rows in order of doc_id."""
+    return writers.with_position(_docs(spark, d).select("doc_id"), "doc_id").select("doc_id", writers.file_number(F.col("position"), FILE_ROWS).alias("file_no"))
+
+
+@query
+def shard_assign(spark, d):
+    """(doc_id, shard): rolling shards of SHARD_ROWS rows in order of doc_id."""
+    return writers.with_position(_docs(spark, d).select("doc_id"), "doc_id").select("doc_id", writers.shard_path(F.col("position"), SHARD_ROWS).alias("shard"))
+
+
+@query
+def chunk_assign(spark, d):
+    """(event_id, chunk): chunks of 1000 events in order of event_id."""
+    return writers.with_position(load(spark, d, "events").select("event_id"), "event_id").select("event_id", writers.file_number(F.col("position"), 1000).alias("chunk"))
+
+
+@query
+def even_split(spark, d):
+    """(item_id, part): the items in 7 parts of sizes that differ by at most one."""
+    return load(spark, d, "benchmark").select("item_id", F.expr("ntile(7) over (order by item_id)").alias("part"))
+
+
+@query
+def reject_sink(spark, d):
+    """(reject_stage, rows): rejects written by stage and read again."""
+    path = _fresh(spark, "rejects")
+    writers.write_rejects(filter_cascade(spark, d).where("reject_stage is not null"), path, "reject_stage")
+    return spark.read.schema("doc_id long, reject_stage string").json(path).groupBy("reject_stage").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def discovered_folders(spark, d):
+    """(folder, rows): rows by sub-folder of a corpus written by language."""
+    path = _fresh(spark, "corpus")
+    _docs(spark, d).select("doc_id", F.coalesce(F.lower("lang"), F.lit("none")).alias("l")).where("l <> ''").write.partitionBy("l").parquet(path)
+    return readers.with_folder(spark.read.option("recursiveFileLookup", "true").schema("doc_id long").parquet(path), path).groupBy("folder").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# --- filters ---
+
+
+@query
+def len_filter(spark, d):
+    """(doc_id): texts of 20 to 100,000 characters."""
+    return filters.length_filter(_docs(spark, d)).select("doc_id")
+
+
+@query
+def len_filter_strict(spark, d):
+    """(doc_id): texts of more than 20 and fewer than 100,000 characters."""
+    return filters.length_filter(_docs(spark, d), strict=True).select("doc_id")
+
+
+@query
+def language_filter(spark, d):
+    """(doc_id): documents declared English."""
+    return filters.language_filter(_docs(spark, d), F.col("lang"), ["en"]).select("doc_id")
+
+
+@query
+def long_text(spark, d):
+    """(text): distinct long texts."""
+    return filters.long_text(_docs(spark, d), low=3000)
+
+
+@query
+def score_filter(spark, d):
+    """(prob, text, url): predictions with a score in [0.2, 0.9], distinct."""
+    return filters.score_filter(load(spark, d, "predictions"), "prob", ["text", "url"], 0.2, 0.9)
+
+
+@query
+def prob_filter(spark, d):
+    """(pred_id): predictions of at least 0.9."""
+    return filters.prob_filter(load(spark, d, "predictions")).select("pred_id")
+
+
+@query
+def prob_filter_stats(spark, d):
+    """(total, kept, ratio) of the probability threshold."""
+    return filters.kept_share(load(spark, d, "predictions"), ~F.isnan("prob") & (F.col("prob") >= 0.9))
+
+
+@query
+def positive_filter(spark, d):
+    """(pred_id): predictions of the positive label above 0.9."""
+    return filters.positive_filter(_predicted(spark, d)).select("pred_id")
+
+
+def _predicted(spark, d):
+    """Predictions with the label that their probability stands for."""
+    valid = ~F.isnan("prob") & F.col("prob").between(0, 1)
+    rows = load(spark, d, "predictions").where(valid)
+    return rows.withColumn("label", F.when(F.col("prob") >= 0.5, "__label__1").otherwise("__label__0")).withColumn("prob", F.greatest("prob", 1 - F.col("prob")))
+
+
+@query
+def pos_neg_split(spark, d):
+    """(label, n): predictions by stripped label."""
+    return _predicted(spark, d).groupBy(labels.strip_label(F.col("label")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def domain_filter(spark, d):
+    """(record_id): crawl records whose domain has a target."""
+    allowed = load(spark, d, "keep_targets").select("domain")
+    return filters.domain_filter(load(spark, d, "crawl_records"), urls.domain_of(F.col("domain"), F.col("url")), allowed).select("record_id")
+
+
+def _judged(spark, d):
+    """Documents with a score column as judges leave it: numbers, junk, nulls."""
+    n = F.col("doc_id") % 10
+    score = F.when(n == 0, F.lit(None)).when(n == 1, F.lit("-1")).when(n == 2, F.lit("4分")).when(n == 3, F.lit(" 3 ")).when(n == 4, F.lit("")).otherwise((n - 4).cast("string"))
+    return _docs(spark, d).select("doc_id", "source", "text", score.alias("reply"))
+
+
+@query
+def score_validate(spark, d):
+    """(doc_id, score): replies as scores, unusable ones -1."""
+    return _judged(spark, d).select("doc_id", text.score_of_reply(F.col("reply")).alias("score"))
+
+
+@query
+def rescore_candidates(spark, d):
+    """(doc_id): rows that need a new score."""
+    return filters.rescore_candidates(_judged(spark, d), "reply").select("doc_id")
+
+
+# --- quality filters ---
+
+
+@query
+def gopher_repetition(spark, d):
+    """Repetition shares of every document, and whether a rule is broken."""
+    shares = quality.repetition(_docs(spark, d))
+    return shares.select("doc_id", *[F.round(c, 6).alias(c) for c in quality.REPETITION[1:]], quality.repetitive().alias("repetitive"))
+
+
+@query
+def gopher_quality(spark, d):
+    """(doc_id, low_quality)."""
+    return _docs(spark, d).select("doc_id", quality.low_quality(F.col("text")).alias("low_quality"))
+
+
+@query
+def c4_quality(spark, d):
+    """(doc_id, text, bad): rewritten text and document rule."""
+    rewritten = _docs(spark, d).withColumn("rewritten", quality.c4_text(F.col("text")))
+    return rewritten.select("doc_id", F.col("rewritten").alias("text"), quality.c4_bad(F.col("text"), F.col("rewritten")).alias("bad"))
+
+
+@query
+def fineweb_quality(spark, d):
+    """(doc_id, bad)."""
+    return _docs(spark, d).select("doc_id", quality.fineweb_bad(F.col("text")).alias("bad"))
+
+
+def filter_cascade_text(spark, d):
+    return quality.cascade(_docs(spark, d), F.col("lang"), ["en"])
+
+
+@query
+def filter_cascade(spark, d):
+    """(doc_id, reject_stage): first failing stage, null for survivors."""
+    return filter_cascade_text(spark, d).select("doc_id", "reject_stage")
+
+
+@query
+def cascade_report(spark, d):
+    """(stage, docs): documents by outcome."""
+    return filter_cascade(spark, d).groupBy(F.coalesce("reject_stage", F.lit("kept")).alias("stage")).agg(F.count(F.lit(1)).alias("docs"))
+
+
+# --- dedup, sets, joins ---
+
+
+@query
+def dedup_text(spark, d):
+    """(doc_id): first document of every text."""
+    return dedup.keep_first(_docs(spark, d), ["text"], "doc_id").select("doc_id")
+
+
+@query
+def dedup_rows(spark, d):
+    """Distinct predictions."""
+    return dedup.dedup_rows(load(spark, d, "predictions").select("pred_id", "domain", "prob"))
+
+
+@query
+def dedup_metrics(spark, d):
+    """(total, duplicated, remain) of texts."""
+    return dedup.dedup_metrics(_docs(spark, d), ["text"])
+
+
+@query
+def dedup_stats(spark, d):
+    """Dedup figures by url and text over all documents."""
+    return dedup.dedup_stats(_docs(spark, d), hashing.row_md5(F.col("url"), F.col("text")))
+
+
+@query
+def dedup_cross(spark, d):
+    """(doc_id): documents new against the texts of the filtered corpus."""
+    known = load(spark, d, "filtered_corpus").select(hashing.row_md5(F.col("text")).alias("record_key"))
+    return dedup.new_records(_docs(spark, d), hashing.row_md5(F.col("text")), "doc_id", known).select("doc_id")
+
+
+@query
+def bloom_shard(spark, d):
+    """(seen_key, shard)."""
+    return load(spark, d, "seen_keys").select("seen_key", hashing.shard_of(F.col("seen_key")).alias("shard"))
+
+
+@query
+def bloom_check(spark, d):
+    """(request_id, pos, known): whether each requested key is in the registry."""
+    asked = load(spark, d, "check_requests").select("request_id", F.posexplode("elements").alias("pos", "key"))
+    return registry.check(asked, load(spark, d, "seen_keys").select(F.col("seen_key").alias("key"))).select("request_id", "pos", "known")
+
+
+@query
+def registry_status(spark, d):
+    """(shard, keys) of the registry."""
+    return registry.status(load(spark, d, "seen_keys").select(F.col("seen_key").alias("key")))
+
+
+@query
+def registry_add(spark, d):
+    """(shard, keys) after the requested keys have been added to a persistent registry."""
+    table = registry.KeyRegistry(spark, _fresh(spark, "registry"))
+    table.add(load(spark, d, "seen_keys").select(F.col("seen_key").alias("key")))
+    table.add(load(spark, d, "check_requests").select(F.explode("elements").alias("key")))
+    return table.status()
+
+
+@query
+def minhash_signature(spark, d):
+    """(doc_id, signature): 112 minima over five-word shingles."""
+    return minhash.signatures(minhash.shingles(_docs(spark, d)))
+
+
+@query
+def minhash_signature_fast(spark, d):
+    """(doc_id, signature): the same, made in Arrow batches without a shuffle."""
+    return minhash.fast_signatures(_docs(spark, d)).select("doc_id", "signature")
+
+
+@query
+def minhash_pairs(spark, d):
+    """(a, b): each document of a bucket with the bucket's first."""
+    return minhash.bucket_links(minhash.bands(minhash.fast_signatures(_docs(spark, d))))
+
+
+@query
+def minhash_clusters(spark, d):
+    """(id, label): clusters of documents that share buckets."""
+    return components.components(minhash_pairs(spark, d))
+
+
+@query
+def minhash_dedup(spark, d):
+    """(doc_id): documents that are the first of their cluster."""
+    removed = minhash_clusters(spark, d).where("id <> label").select(F.col("id").alias("doc_id"))
+    return _docs(spark, d).select("doc_id").join(removed, "doc_id", "left_anti")
+
+
+@query
+def near_duplicates(spark, d):
+    """(doc_id, class_id, links): verified near-duplicate classes of similarity 0.8 and more."""
+    return minhash.near_duplicates(_docs(spark, d))
+
+
+@query
+def union_merge(spark, d):
+    """(table, rows, with_lang): documents and benchmark items as one table."""
+    both = dedup.union_by_name(_docs(spark, d).select("text", "lang", F.lit("documents").alias("table")), load(spark, d, "benchmark").select("text", F.lit("benchmark").alias("table")))
+    return both.groupBy("table").agg(F.count(F.lit(1)).alias("rows"), F.count("lang").alias("with_lang"))
+
+
+def _texts(spark, d):
+    return dedup.union_by_name(_docs(spark, d).select("text"), load(spark, d, "filtered_corpus").select("text"))
+
+
+@query
+def merge_dataset(spark, d):
+    """(text): both corpora after length filter, cleaning and dedup."""
+    return filters.length_filter(_texts(spark, d)).select(text.clean_text(F.col("text")).alias("text")).where("text <> ''").distinct()
+
+
+@query
+def merge_train_data(spark, d):
+    """(text): both corpora after cleaning and dedup."""
+    return _texts(spark, d).select(text.clean_text(F.col("text")).alias("text")).where("text <> ''").distinct()
+
+
+@query
+def remove_overlap(spark, d):
+    """(doc_id): documents whose text isn't in the filtered corpus."""
+    return dedup.remove_overlap(_docs(spark, d), load(spark, d, "filtered_corpus"), F.col("text"), F.col("text")).select("doc_id")
+
+
+@query
+def remove_cleaned(spark, d):
+    """(doc_id): documents whose cleaned text isn't among the cleaned texts of the filtered corpus."""
+    clean = text.clean_text(F.col("text"))
+    return dedup.remove_overlap(_docs(spark, d), load(spark, d, "filtered_corpus"), clean, clean).select("doc_id")
+
+
+# --- statistics ---
+
+
+@query
+def url_count(spark, d):
+    """(url, count) without query and fragment."""
+    return stats.count_by(load(spark, d, "crawl_records"), F.regexp_replace("url", "[?#].*$", "")).withColumnRenamed("_0", "url")
+
+
+@query
+def domain_count(spark, d):
+    """(domain, count) by host."""
+    return stats.count_by(load(spark, d, "crawl_records"), urls.fqdn(F.col("url"))).withColumnRenamed("_0", "domain")
+
+
+@query
+def domain_count_by_file(spark, d):
+    """(source, domain, count): hosts by source of documents."""
+    return stats.count_by(_docs(spark, d), F.col("source"), urls.fqdn(F.col("url"))).withColumnsRenamed({"_0": "source", "_1": "domain"})
+
+
+@query
+def domain_rollup(spark, d):
+    """(domain, count): url counts summed by host."""
+    return stats.sum_by(url_count(spark, d), urls.fqdn(F.col("url"))).withColumnRenamed("key", "domain")
+
+
+@query
+def domain_merge(spark, d):
+    """(domain, count): host counts of crawl and documents merged."""
+    docs = stats.count_by(_docs(spark, d), urls.fqdn(F.col("url"))).withColumnRenamed("_0", "domain")
+    return stats.sum_by(domain_count(spark, d).unionByName(docs), F.col("domain")).withColumnRenamed("key", "domain")
+
+
+@query
+def top_domains(spark, d):
+    """(domain, count): the five most frequent hosts."""
+    return domain_count(spark, d).orderBy(F.desc("count"), "domain").limit(5)
+
+
+@query
+def domain_ratio(spark, d):
+    """(domain, base_count, other_count, ratio): https records against all, by host."""
+    crawl = load(spark, d, "crawl_records")
+    base = stats.count_by(crawl.where(F.col("url").startswith("https")), urls.fqdn(F.col("url"))).withColumnRenamed("_0", "domain")
+    return stats.ratio_of_counts(base, domain_count(spark, d), "domain")
+
+
+@query
+def score_distribution(spark, d):
+    """(score, count, percent) of all judged rows."""
+    return stats.score_distribution(score_validate(spark, d), F.col("score"))
+
+
+@query
+def score_by_source(spark, d):
+    """(source, score, count, percent) by source."""
+    rows = _judged(spark, d).select("source", text.score_of_reply(F.col("reply")).alias("score"))
+    return stats.score_distribution(rows, F.col("score"), "source")
+
+
+@query
+def confusion_matrix(spark, d):
+    """Transport labels against scores above 0.9."""
+    truth = load(spark, d, "subject_labels").groupBy("doc_id").agg(F.max(F.lower("subject") == "transport").alias("t"))
+    scored = load(spark, d, "predictions").where("doc_id is not null").groupBy("doc_id").agg(F.max(F.when(~F.isnan("prob"), F.col("prob"))).alias("p"))
+    return stats.confusion(scored.join(truth, "doc_id", "left"), F.col("t"), F.col("p") > 0.9)
+
+
+@query
+def inference_report(spark, d):
+    """(total, positives, share) of the predictions."""
+    return stats.inference_report(_predicted(spark, d), classifier.is_positive())
+
+
+# --- sampling ---
+
+
+@query
+def sample_per_group(spark, d):
+    """(doc_id): a sample over sources."""
+    rows = _docs(spark, d).where("source is not null").select("doc_id", "source", "text")
+    return sampling.sample_per_group(rows, F.col("source"), F.col("doc_id"), 200, SEED).select("doc_id")
+
+
+@query
+def sample_clean(spark, d):
+    """(text): a sample over sources, cleaned, without empty ones."""
+    rows = _docs(spark, d).where("source is not null").select("doc_id", "source", "text")
+    taken = sampling.sample_per_group(rows, F.col("source"), F.col("doc_id"), 200, SEED)
+    return taken.select("doc_id", text.clean_text(F.col("text")).alias("text")).where("text <> ''")
+
+
+def _scaled(spark, d):
+    return load(spark, d, "events").select("event_id", (F.col("value") / 100).alias("prob"))
+
+
+@query
+def stratified_bins(spark, d):
+    """(bin, rows, quota) of the event values."""
+    return sampling.bin_counts(_scaled(spark, d), F.col("prob"), 503)
+
+
+@query
+def stratified_sample(spark, d):
+    """(event_id, bin, draw): a sample with as many rows of every bin."""
+    return sampling.stratified_sample(_scaled(spark, d), F.col("prob"), F.col("event_id"), 503, SEED).select("event_id", "bin", "draw")
+
+
+@query
+def train_val_split(spark, d):
+    """(doc_id, split): 80 to 20 by language."""
+    return sampling.train_val_split(_docs(spark, d).select("doc_id", "lang"), F.col("lang"), F.col("doc_id"), 0.8, SEED).select("doc_id", "split")
+
+
+# --- segments, models, judge ---
+
+
+@query
+def sentence_split(spark, d):
+    """(doc_id, seq, sentence)."""
+    return segment.explode_sentences(_docs(spark, d))
+
+
+@query
+def segments(spark, d):
+    """(doc_id, seq, segment, words)."""
+    return segment.explode_segments(_docs(spark, d))
+
+
+@query
+def segment_invariants(spark, d):
+    """(doc_id, tokens): tokens of all segments of a document, which are those of its text."""
+    tokens = F.size(F.filter(F.split("segment", " "), lambda w: w != ""))
+    return segments(spark, d).groupBy("doc_id").agg(F.sum(tokens).alias("tokens"))
+
+
+@query
+def language_id_eval(spark, d):
+    """(lang, language, docs): declared against guessed language."""
+    guessed = language.with_language(_docs(spark, d).where("text is not null"))
+    return guessed.groupBy(F.lower(F.substring_index("lang", "-", 1)).alias("lang"), "language").agg(F.count(F.lit(1)).alias("docs"))
+
+
+def _labelled(spark, d):
+    """(doc_id, text, label): labelled documents, 1 for transport."""
+    truth = load(spark, d, "subject_labels").groupBy("doc_id").agg(F.max((F.lower("subject") == "transport").cast("int")).alias("label"))
+    return _docs(spark, d).select("doc_id", "text").where("text is not null").join(truth, "doc_id")
+
+
+def _trained(spark, d):
+    split = sampling.train_val_split(_labelled(spark, d), F.col("label"), F.col("doc_id"), 0.8, SEED)
+    return classifier.train(split.where("split = 'train'"), features=1 << 14), split.where("split = 'val'")
+
+
+@query
+def classifier_train(spark, d):
+    """Evaluation of the classifier on the held-out fifth."""
+    model, held_out = _trained(spark, d)
+    predicted = classifier.predict(held_out.withColumnRenamed("label", "truth"), model)
+    return stats.confusion(predicted, F.col("truth") == 1, F.col("label") == "__label__1")
+
+
+@query
+def classifier_predict(spark, d):
+    """(doc_id, label, prob) of every document."""
+    model, _ = _trained(spark, d)
+    return classifier.predict(_docs(spark, d).select("doc_id", "text"), model).select("doc_id", "label", "prob")
+
+
+@query
+def judge_scores(spark, d):
+    """(doc_id, score) by the offline judge."""
+    return judge.judge(_docs(spark, d), "doc_id")
+
+
+@query
+def judge_rescored(spark, d):
+    """(doc_id, score): valid scores kept, all others judged."""
+    return judge.rescored(_judged(spark, d), "doc_id", "reply").select("doc_id", F.col("reply").alias("score"))
+
+
