@@ -222,6 +222,8 @@ def segments(texts: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def _word_counts(labelled: DataFrame) -> dict[str, dict[str, int]]:
+    # the languages of the scripts need no words, and other words in their texts are not theirs
+    labelled = labelled.where(~F.col("lang").isin(*_SCRIPTS))
     words = labelled.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]]+"), F.lit(0))).alias("word"))
     counted = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
