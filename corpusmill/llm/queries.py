@@ -90,9 +90,9 @@ def p4_cutoffs(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def site_documents(spark: SparkSession, directory: str) -> DataFrame:
-    """(doc_id, site, day, text) of the documents."""
+    """(doc_id, site, day, text, lang) of the documents."""
     docs = load(spark, directory, "documents")
-    return docs.select("doc_id", urls.site_of(F.col("url"), F.col("source")).alias("site"), F.to_date("fetched_at").alias("day"), "text")
+    return docs.select("doc_id", urls.site_of(F.col("url"), F.col("source")).alias("site"), F.to_date("fetched_at").alias("day"), "text", "lang")
 
 
 def p5_found(spark: SparkSession, directory: str) -> DataFrame:

@@ -17,30 +17,33 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import units
+from corpusmill.llm.langid import primary_label
 
 #: Bounds of the fit: labelled and unlabelled documents of the samples, their longest text, and rules kept.
-LABELLED_DOCS, OTHER_DOCS, SAMPLE_CHARS, MAX_RULES = 4000, 3000, 20_000, 20_000
+LABELLED_DOCS, OTHER_DOCS, SAMPLE_CHARS, MAX_RULES = 2500, 1000, 8_000, 20_000
 #: Words of a unit that enter mining: its most telling ones. FP-growth is exponential in this number only.
 UNIT_WORDS = 4
-#: A word enters mining if it stands in so many documents and has this share of its balanced document rate with one subject.
-WORD_DOCS, TELLING = 3, 0.35
+#: A word enters mining if it stands in so many documents, and words and rules must be so many times as frequent
+#: with one subject as with any other.
+WORD_DOCS, TIMES = 3, 2.0
+#: Documents added to each subject and language, so that a few wrong labels weigh little, and the units they stand for.
+SMOOTH, UNITS_A_DOC = 3.0, 10
 #: Units a rule must hold for, its least balanced confidence after shrinking by PRIOR units of no subject,
 #: and how much surer than a more general rule it must be.
-RULE_UNITS, CONFIDENCE, PRIOR, GAIN = 3, 0.5, 1.5, 0.05
+RULE_UNITS, CONFIDENCE, PRIOR, GAIN = 3, 0.6, 1.5, 0.05
 #: Share of its judged units and number of them from which a document counts as clearly about one subject.
 CLEAR, CLEAR_UNITS = 0.8, 3
 #: Probability from which a unit is about a subject.
-ABOUT = 0.55
+ABOUT = 0.7
 #: Share of the judged units a subject needs; if fewer than FEW of all units are judged, most must not be junk.
 SHARE, FEW = 1 / 3, 0.2
 MIN_CHARS = 30
@@ -48,6 +51,7 @@ MIN_CHARS = 30
 _CAMEL = re.compile(r"(?<=[a-zß-ÿ0-9])(?=[A-ZÀ-Þ])")
 _ALNUM = re.compile(r"[^\W_]")
 _HAN_RUN = re.compile(r"[㐀-䶿一-鿿]{2,}")
+_CUT = "doc_id long, lang string, items array<string>"
 _SCORES = "doc_id long, subject string, about long, judged long, units long, chars long"
 
 
@@ -65,14 +69,15 @@ def items_of(unit: str) -> set[str]:
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, found = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        ids, langs, found = [], [], []
+        for doc_id, text, lang in zip(*(batch.column(c).to_pylist() for c in range(3))):
             for unit in units.units_of(text or ""):
                 items = items_of(unit)
                 if items:
                     ids.append(doc_id)
+                    langs.append(lang)
                     found.append(sorted(items))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "items"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "lang", "items"])
 
 
 @dataclass
@@ -83,9 +88,21 @@ class RuleModel:
     #: first word -> [(other words, subject number, log-odds evidence)]
     rules: dict[str, list[tuple[frozenset, int, float]]]
 
+    def __post_init__(self) -> None:
+        self._words = frozenset(w for first, rules in self.rules.items() for rest, _, _ in rules for w in (first, *rest))
+        self._even = math.log(max(len(self.subjects) - 1, 1))
+        self._enough = math.log(ABOUT / (1 - ABOUT))
+
     def subject_of(self, unit: str) -> int:
         """Number of the subject that a unit is about, or -1."""
-        items = items_of(unit)
+        return self.judge(items_of(unit))
+
+    def judge(self, items: set[str] | frozenset[str]) -> int:
+        """Number of the subject that a unit with these items is about, or -1."""
+        known = self._words.intersection(items)
+        return self._judge(known) if known else -1
+
+    def _judge(self, items: frozenset[str]) -> int:
         best: dict[int, dict[int, float]] = {}
         for word in items:
             for rest, subject, weight in self.rules.get(word, ()):
@@ -96,11 +113,22 @@ class RuleModel:
         if not best:
             return -1
         # longer rules repeat the words of shorter ones: only the strongest length counts
-        even = math.log(max(len(self.subjects) - 1, 1))
-        scored = sorted(((max(x.values()) - even, s) for s, x in best.items()), reverse=True)
+        scored = sorted(((max(x.values()) - self._even, s) for s, x in best.items()), reverse=True)
         if len(scored) > 1 and scored[0][0] - scored[1][0] < 0.2:
             return -1
-        return scored[0][1] if scored[0][0] >= math.log(ABOUT / (1 - ABOUT)) else -1
+        return scored[0][1] if scored[0][0] >= self._enough else -1
+
+    def count(self, text: str) -> tuple[dict[int, int], list[str]]:
+        """(units about each subject number, -1 for none; the units) of a text."""
+        if "#" in text:
+            text = _CAMEL.sub(" ", text)
+        parts = units.units_of(text)
+        counts: dict[int, int] = defaultdict(int)
+        known, judge, words, han = self._words.intersection, self._judge, units.WORD.findall, not text.isascii()
+        for unit in parts:
+            found = known(items_of(unit) if han else words(unit.lower()))
+            counts[judge(found) if found else -1] += 1
+        return counts, parts
 
 
 def unreadable(parts: list[str]) -> bool:
@@ -120,10 +148,7 @@ def _score(model: RuleModel):
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts: dict[int, int] = defaultdict(int)
-                parts = units.units_of(text)
-                for unit in parts:
-                    counts[model.subject_of(unit)] += 1
+                counts, parts = model.count(text)
                 judged = sum(n for s, n in counts.items() if s >= 0)
                 if judged < FEW * len(parts) and unreadable(parts):
                     continue
@@ -148,50 +173,68 @@ def assigned(scored: DataFrame, share: float = SHARE) -> DataFrame:
     return scored.where((F.col("chars") >= MIN_CHARS) & (F.col("about") >= share * F.col("judged") - 1e-9))
 
 
-def _mine(transactions: DataFrame, subjects: list[str]) -> RuleModel:
-    """Rules from transactions (doc_id, items, labels)."""
-    rows = transactions.persist()
-    try:
-        by_doc = rows.select("doc_id", F.explode("labels").alias("s"), "items")
-        doc_sizes = {s: n for s, n in by_doc.groupBy("s").agg(F.count_distinct("doc_id")).collect()}  # the subjects
-        size = F.lit(1.0)
-        for s, n in doc_sizes.items():
-            size = F.when(F.col("s") == s, F.lit(float(n))).otherwise(size)
-        # in how many documents of each subject a word stands, per document of the subject
-        rate = by_doc.select("doc_id", "s", F.explode("items").alias("item")).groupBy("item", "s").agg(F.count_distinct("doc_id").alias("k")).withColumn("rate", F.col("k") / size)
-        slack = PRIOR / (sum(doc_sizes.values()) / max(len(doc_sizes), 1) or 1)
-        worth = F.max("rate") / (F.sum("rate") + slack)
-        telling = rate.groupBy("item").agg(F.sum("k").alias("docs"), worth.alias("worth")).where((F.col("docs") >= WORD_DOCS) & (F.col("worth") >= TELLING)).select("item", "worth")
-        numbered = rows.withColumn("unit", F.monotonically_increasing_id())
-        kept = (
-            numbered.select("unit", "doc_id", "labels", F.explode("items").alias("item"))
-            .join(telling, "item")
-            .groupBy("unit", "doc_id", "labels")
-            .agg(F.slice(F.sort_array(F.collect_list(F.struct("worth", "item")), asc=False), 1, UNIT_WORDS).alias("w"))
-            .select("doc_id", F.col("w.item").alias("words"), "labels")
-            .distinct()  # what a document repeats counts once
-            .persist()
-        )
-        total = kept.count()
-        sizes = {s: n for s, n in kept.select(F.explode("labels").alias("s")).groupBy("s").count().collect()}
-        kept = kept.select(F.concat("words", F.transform("labels", lambda s: F.concat(F.lit("="), s))).alias("items"))
-        growth = FPGrowth(itemsCol="items", minSupport=min(1.0, RULE_UNITS / max(total, 1)), minConfidence=0.02)
-        found = growth.fit(kept).associationRules
-        rules = found.where(F.col("consequent")[0].startswith("=") & ~F.exists("antecedent", lambda x: x.startswith("=")))
-        rules = rules.select("antecedent", F.substring(F.col("consequent")[0], 2, 1000).alias("subject"), "confidence", F.round(F.col("support") * total).alias("hits"))
-        mined = rules.orderBy(F.desc("hits"), F.size("antecedent"), "antecedent", "subject").limit(MAX_RULES).collect()
-    finally:
-        rows.unpersist()
-    return _pruned(mined, subjects, sizes)
-
-
-def _pruned(mined: list, subjects: list[str], sizes: dict[str, int]) -> RuleModel:
+@dataclass
+class _Unit:
+    doc: int
+    lang: str
+    items: frozenset[str]
+
+
+def _telling_words(sample: list[_Unit], labels: dict[int, list[str]]) -> dict[str, tuple[float, str]]:
+    """Word -> (worth, main language) of the words that speak for one subject.
+
+    Words are counted by document, and in their main language only, since the
+    subjects are mixed differently in every language.
+    """
+    words: dict[tuple[int, str], set[str]] = defaultdict(set)
+    for u in sample:
+        if u.doc in labels:
+            words[u.doc, u.lang] |= u.items
+    docs: Counter = Counter((lang, s) for doc, lang in words for s in labels[doc])
+    found: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+    for (doc, lang), items in words.items():
+        for w in items:
+            found[w][lang].update(labels[doc])
+    out = {}
+    for w, by_lang in found.items():
+        n, lang = max((sum(c.values()), x) for x, c in by_lang.items())
+        if n >= WORD_DOCS:
+            rates = sorted((k / (docs[lang, s] + SMOOTH) for s, k in by_lang[lang].items()), reverse=True)
+            if len(rates) == 1 or rates[0] >= TIMES * rates[1]:
+                out[w] = rates[0] / (sum(rates) + SMOOTH / 100), lang
+    return out
+
+
+def _mine(spark: SparkSession, sample: list[_Unit], labels: dict[int, list[str]], subjects: list[str]) -> RuleModel:
+    """Rules from the units of the documents with labels."""
+    from pyspark.ml.fpm import FPGrowth  # not needed where units are scored
+
+    telling = _telling_words(sample, labels)
+    rows = set()  # what a document repeats counts once
+    for u in sample:
+        if u.doc in labels:
+            best = sorted(u.items & telling.keys(), key=lambda w: (-telling[w][0], w))[:UNIT_WORDS]
+            if best:
+                rows.add((u.doc, u.lang, tuple(best)))
+    sizes = Counter((s, lang) for doc, lang, _ in rows for s in labels[doc])
+    if not rows:
+        return RuleModel(subjects, {})
+    transactions = spark.createDataFrame([([*w, *(f"={s}" for s in labels[doc])],) for doc, _, w in sorted(rows)], "items array<string>")
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, RULE_UNITS / len(rows)), minConfidence=0.02).fit(transactions).associationRules
+    rules = found.where(F.col("consequent")[0].startswith("=") & ~F.exists("antecedent", lambda x: x.startswith("=")))
+    rules = rules.select("antecedent", F.substring(F.col("consequent")[0], 2, 1000).alias("subject"), "confidence", F.round(F.col("support") * len(rows)).alias("hits"))
+    mined = rules.orderBy(F.desc("hits"), F.size("antecedent"), "antecedent", "subject").limit(MAX_RULES).collect()
+    return _pruned(mined, subjects, sizes, {w: lang for w, (_, lang) in telling.items()})
+
+
+def _pruned(mined: list, subjects: list[str], sizes: dict[tuple[str, str], int], language: dict[str, str]) -> RuleModel:
     """A model of the mined rules (antecedent, subject, confidence, hits), balanced and without redundant ones.
 
-    sizes: units labelled with each subject. Hits below RULE_UNITS are not
-    mined; what an antecedent's known hits leave over is spread over the rest.
+    sizes: units labelled with each subject in each language; language: that
+    of each word. Hits below RULE_UNITS are not mined; what an antecedent's
+    known hits leave over is spread over the rest.
     """
-    present = [s for s in subjects if sizes.get(s)]
+    present = [s for s in subjects if any(sizes.get((s, x)) for x in set(language.values()))]
     hits: dict[frozenset, dict[str, float]] = defaultdict(dict)
     units_with: dict[frozenset, float] = {}
     for words, subject, confidence, n in mined:
@@ -204,13 +247,15 @@ def _pruned(mined: list, subjects: list[str], sizes: dict[str, int]) -> RuleMode
         known = hits[key]
         unknown = [s for s in present if s not in known]
         left = max(0.0, units_with[key] - sum(known.values())) / len(unknown) if unknown else 0.0
-        rate = {s: known.get(s, left) / sizes[s] for s in present}
+        lang = language[min(key)]
+        rate = {s: known.get(s, left) / (sizes.get((s, lang), 0) + SMOOTH * UNITS_A_DOC) for s in present}
         total = sum(rate.values())
         for s in known:
             balanced = rate[s] / total
             shrunk = (balanced * known[s] + PRIOR / len(present)) / (known[s] + PRIOR)
             general = max((sure.get((key - {w}, s), 0.0) for w in key), default=0.0)
-            if shrunk >= CONFIDENCE and shrunk > general + GAIN:
+            telling = rate[s] >= TIMES * max((r for x, r in rate.items() if x != s), default=0.0)
+            if telling and shrunk >= CONFIDENCE and shrunk > general + GAIN:
                 sure[key, s] = min(shrunk, 0.99)
             elif general:
                 sure[key, s] = general  # so that longer rules are compared with it too
@@ -225,21 +270,32 @@ def _pruned(mined: list, subjects: list[str], sizes: dict[str, int]) -> RuleMode
 
 
 def fit(docs: DataFrame, labels: DataFrame, subjects: list[str]) -> RuleModel:
-    """Rules from docs (doc_id, text) and labels (doc_id, subject), which may be wrong, repeated or incomplete.
+    """Rules from docs (doc_id, text, lang) and labels (doc_id, subject), which may be wrong, repeated or incomplete.
+
+    lang is the declared language; it only balances the counts, so wrong or missing ones do little harm.
 
     Labels are compared in lower case; those outside subjects are not used.
     """
     known = labels.select("doc_id", F.lower(F.trim("subject")).alias("subject")).where(F.col("subject").isin(subjects)).distinct()
     by_doc = known.groupBy("doc_id").agg(F.collect_set("subject").alias("labels"))
-    short = docs.select("doc_id", "text").where(F.length("text").between(MIN_CHARS, SAMPLE_CHARS))
     million = F.pmod(F.xxhash64("doc_id", F.lit("subjects")), F.lit(1_000_000))
-    share = min(1.0, LABELLED_DOCS / max(by_doc.count(), 1))
-    sample = short.join(by_doc.where(million < share * 1_000_000), "doc_id")
-    cut = sample.mapInArrow(_split, "doc_id long, items array<string>").join(by_doc, "doc_id")
-    first = _mine(cut, subjects)
-    # the first rules label both samples: a document's units carry the subjects it is then given
-    share = min(1.0, OTHER_DOCS / max(docs.select("doc_id").count(), 1))
-    both = short.where(million < share * 1_000_000).unionByName(sample.select("doc_id", "text")).dropDuplicates(["doc_id"])
-    given = assigned(scores(both, first), CLEAR).where(F.col("judged") >= CLEAR_UNITS).groupBy("doc_id").agg(F.collect_set("subject").alias("labels"))
-    again = both.mapInArrow(_split, "doc_id long, items array<string>").join(given, "doc_id")
-    return _mine(again, subjects)
+    labelled = by_doc.where(million < min(1.0, LABELLED_DOCS / max(by_doc.count(), 1)) * 1_000_000).withColumn("labelled", F.lit(True))
+    other = million < min(1.0, OTHER_DOCS / max(docs.select("doc_id").count(), 1)) * 1_000_000
+    lang = F.coalesce(primary_label(F.col("lang")), F.lit(""))
+    rows = docs.where(F.length("text").between(MIN_CHARS, SAMPLE_CHARS)).select("doc_id", "text", lang.alias("lang")).join(labelled.select("doc_id", "labelled"), "doc_id", "left")
+    cut = rows.where(F.col("labelled") | other).select("doc_id", "text", "lang").mapInArrow(_split, _CUT).toArrow()  # the bounded sample
+    shared: dict[str, str] = {}
+    columns = (cut.column(c).to_pylist() for c in ("doc_id", "lang", "items"))
+    sample = [_Unit(doc, lang, frozenset(shared.setdefault(w, w) for w in items)) for doc, lang, items in zip(*columns)]
+    given = {r.doc_id: sorted(r.labels) for r in labelled.collect()}
+    first = _mine(docs.sparkSession, sample, given, subjects)
+    # the first rules label the whole sample: only documents clearly about one subject are mined again
+    counts: dict[int, Counter] = defaultdict(Counter)
+    for u in sample:
+        counts[u.doc][first.judge(u.items)] += 1
+    clear = {}
+    for doc, c in counts.items():
+        c.pop(-1, None)
+        if sum(c.values()) >= CLEAR_UNITS and c.most_common(1)[0][1] >= CLEAR * sum(c.values()):
+            clear[doc] = [subjects[c.most_common(1)[0][0]]]
+    return _mine(docs.sparkSession, sample, clear, subjects) if clear else first
