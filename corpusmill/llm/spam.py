@@ -118,7 +118,9 @@ def page(text: str) -> tuple[int, float, float, float]:
     kind = np.array(kinds)
     bare = kind != units.SENTENCE
     spam = (kind == units.LINKS) | (kind == units.TAGS) | ((kind == units.SELLING) & (share >= SELLING_COVERED))
-    spam |= bare & (share >= COVERED) & (np.array(counts) >= 4) & (kind != units.JUNK)
+    # marked list items may repeat without being keywords
+    marked = np.array([k == units.ITEM and units.is_marked_item(u) for k, u in zip(kinds, parts)])
+    spam |= bare & (share >= COVERED) & (np.array(counts) >= 4) & (kind != units.JUNK) & ~marked
     total = chars.sum()
     return int(total), float((chars * share).sum() / total), float(chars[bare].sum() / total), float(chars[spam].sum() / total)
 

@@ -130,6 +130,11 @@ def _judge_han(unit: str, low: str, han: int) -> int:
     return ITEM if "/" in low or "、" in low else HEADING
 
 
+def is_marked_item(unit: str) -> bool:
+    """Whether a unit begins with a list mark or number, or joins words by a slash."""
+    return _ITEM.match(unit) is not None
+
+
 def kind_of(unit: str) -> int:
     """What a unit is; see KINDS."""
     return judge(unit)[0]
