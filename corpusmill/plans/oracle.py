@@ -307,4 +307,12 @@ select doc_id, case when r <= round(n * 0.8) then 'train' else 'val' end as spli
     "segment_invariants": r"""
 select doc_id, n as tokens from (select doc_id, len(list_filter(regexp_split_to_array(text, '[\t-\r\x1C-\x20\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), lambda w: w <> '')) as n
 from documents where text is not null) where n > 0""",
+    "append_csv": "select task, count(*) as rows from benchmark group by task",
+    "convert_jsonl_csv": "select item_id, task from benchmark",
+    "failed_files": "select item_id from benchmark",
+    "pipeline_dedup": f"""
+with fresh as (select url, text, min(doc_id) as doc_id from documents where length(text) > 20 and length(text) < 100000 group by url, text),
+placed as (select (row_number() over (order by doc_id) - 1) // {SHARD_ROWS} as n from fresh)
+select printf('shard_%02d', n % 10 + 1) as folder, printf('shard_%05d', n // 10 + 1) as shard, count(*) as rows from placed group by 1, 2""",
+    "domain_corpus": f"select distinct md5(text) as digest from documents where length(text) between 20 and 100000 and {_fqdn('url')} in (select {_fqdn('url')} from documents group by 1 having count(*) >= 10 and {_fqdn('url')} <> '')",
 }

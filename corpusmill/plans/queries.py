@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import hashing, labels, text, urls
 from corpusmill.operators import classifier, components, dedup, filters, judge, language, masking, minhash, quality, registry, sampling, segment, stats
+from corpusmill.plans import pipelines
 from corpusmill.scratch import shared_dir
 from corpusmill.sources import readers, writers
 from corpusmill.sources.tables import load
@@ -624,3 +625,74 @@ def judge_rescored(spark, d):
     return judge.rescored(_judged(spark, d), "doc_id", "reply").select("doc_id", F.col("reply").alias("score"))
 
 
+
+
+# --- more sinks, pipelines ---
+
+
+@query
+def append_csv(spark, d):
+    """(i, rows): a CSV table written in two appends and read again."""
+    path = _fresh(spark, "append")
+    for k in (0, 1):
+        writers.write(load(spark, d, "benchmark").where(F.col("item_id") % 2 == k).select("item_id", "task"), path, "csv", mode="append")
+    return readers.read_csv(spark, path, "item_id long, task string").groupBy("task").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def convert_jsonl_csv(spark, d):
+    """(item_id, task): benchmark items written as JSON lines, converted to CSV and read again."""
+    source, target = _fresh(spark, "items.jsonl"), _fresh(spark, "items-csv")
+    writers.write(load(spark, d, "benchmark").select("item_id", "task"), source, "jsonl", compression="gzip")
+    writers.convert(spark, source, "item_id long, task string", target, "csv")
+    return readers.read_csv(spark, target, "item_id long, task string")
+
+
+@query
+def failed_files(spark, d):
+    """(rows, files): rows read file by file from good zstd files, and good files."""
+    path = _fresh(spark, "by-file")
+    writers.write(load(spark, d, "benchmark").select("item_id"), path, "jsonl", compression="zstd")
+    rows, failed = readers.read_jsonl_by_file(spark, path, T.StructType.fromDDL("item_id long"))
+    return rows.select("item_id").unionByName(failed.select(F.lit(-1).cast("long").alias("item_id")))
+
+
+@query
+def rejects_by_language(spark, d):
+    """(language, rows): documents that aren't English, written by guessed language and read again."""
+    path = _fresh(spark, "by-language")
+    told = language.with_language(_docs(spark, d).select("doc_id", "text").where("text is not null"))
+    writers.write_rejects(told.where("language <> 'en'").select("doc_id", "language"), path, "language")
+    return spark.read.schema("doc_id long, language string").json(path).groupBy("language").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def pipeline_corpus(spark, d):
+    """(reject_stage, docs) of the corpus pipeline over the documents, by source."""
+    docs = _docs(spark, d).where("source is not null").select("doc_id", F.col("source").alias("folder"), "text")
+    return pipelines.curate(docs).groupBy(F.coalesce("reject_stage", F.lit("kept")).alias("reject_stage")).agg(F.count(F.lit(1)).alias("docs"))
+
+
+@query
+def pipeline_dedup(spark, d):
+    """(folder, shard, rows): documents with unseen keys in rolling shards."""
+    path = _fresh(spark, "shards")
+    known = load(spark, d, "filtered_corpus").select(hashing.row_sha(F.lit("x"), F.col("text")).alias("record_key"))
+    pipelines.run_dedup(_docs(spark, d).select("doc_id", "url", "text"), path, "doc_id", known=known, shard_rows=SHARD_ROWS)
+    written = spark.read.schema("doc_id long, folder string, shard string").json(path)
+    return written.groupBy("folder", "shard").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def pipeline_classifier(spark, d):
+    """(doc_id): documents that a classifier of transport texts keeps."""
+    labelled = _labelled(spark, d)
+    kept, _ = pipelines.run_classifier(labelled.where("label = 1").select("text"), labelled.where("label = 0").select("text"), _docs(spark, d).select("doc_id", "text"))
+    return kept.select("doc_id")
+
+
+@query
+def domain_corpus(spark, d):
+    """(digest): texts of hosts with at least ten documents, once each."""
+    allowed = stats.count_by(_docs(spark, d), urls.fqdn(F.col("url"))).where(F.col("count") >= 10).select(F.col("_0").alias("domain"))
+    return pipelines.domain_corpus(_docs(spark, d).select("url", "text"), allowed).select(F.md5("text").alias("digest"))

@@ -95,3 +95,39 @@ def unprocessed(spark: SparkSession, files: DataFrame, manifest: str) -> DataFra
             raise
         return files
     return files.join(done, "path", "left_anti")
+
+
+def read_jsonl_by_file(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows with column path, failed files as path and error) of .jsonl, .gz, .zst and .zstd files.
+
+    A file that cannot be unpacked or parsed is reported instead of failing
+    the scan, and none of its rows are returned. Each file is read as a whole.
+    """
+
+    def parse(batches):
+        import gzip
+        import io
+        import json
+
+        import pandas as pd
+
+        for pdf in batches:
+            for name, content in zip(pdf["path"], pdf["content"]):
+                try:
+                    if name.endswith((".zst", ".zstd")):
+                        import zstandard
+
+                        content = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content), read_across_frames=True).read()
+                    elif name.endswith(".gz"):
+                        content = gzip.decompress(content)
+                    lines = [x for x in content.decode("utf-8").split("\n") if x.strip()]
+                    for line in lines:
+                        json.loads(line)
+                    yield pd.DataFrame({"path": name, "value": lines, "error": None}, columns=["path", "value", "error"])
+                except Exception as error:
+                    yield pd.DataFrame({"path": [name], "value": [None], "error": [f"{type(error).__name__}: {error}"]})
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    parsed = files.mapInPandas(parse, "path string, value string, error string")
+    rows = parsed.where(F.col("error").isNull()).select("path", F.from_json("value", schema).alias("r")).select("path", "r.*")
+    return rows, parsed.where(F.col("error").isNotNull()).select("path", "error")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions import labels
+from corpusmill.sources import readers
 
 #: Quotes doubled, blanks at the ends of texts kept.
 _CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -112,3 +114,8 @@ def write_rejects(df: DataFrame, path: str, *columns: str) -> None:
 def write_label_lines(df: DataFrame, path: str) -> None:
     """Text file of label lines from (label, text)."""
     df.select(labels.label_line(F.col("label"), F.col("text")).alias("value")).write.text(path)
+
+
+def convert(spark: SparkSession, source: str, schema: str, target: str, fmt: str, compression: str | None = None) -> None:
+    """Read a table by the format its path tells and write it in another format or compression."""
+    write(readers.read_any(spark, source, T.StructType.fromDDL(schema)), target, fmt, compression=compression)
