@@ -13,7 +13,7 @@ from corpusmill.operators import classifier, components, dedup, filters, judge,
 from corpusmill.plans import pipelines
 from corpusmill.scratch import shared_dir
 from corpusmill.sources import readers, writers
-from corpusmill.sources.tables import load
+from corpusmill.sources.tables import load, load_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,7 +27,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "documents")
+    return load_texts(spark, d, "documents")
 
 
 def _of_docs(name: str, expression: Callable[[], Column]) -> None:
