@@ -97,10 +97,10 @@ def _segments(segment_chars: int):
 def build_index(docs: DataFrame, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
     """The index of docs (doc_id, text) as a table: one row per segment and term.
 
-    term null holds the segment's documents and where each begins. Null texts
-    and texts without words have no postings.
+    term null holds the segment's documents and where each begins. Null ids,
+    null texts and texts without words have no postings.
     """
-    return materialize(docs.select("doc_id", "text").mapInArrow(_segments(segment_chars), _INDEX), "leak-index")
+    return materialize(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).mapInArrow(_segments(segment_chars), _INDEX), "leak-index")
 
 
 def _decode(raw: bytes) -> np.ndarray:
@@ -198,6 +198,7 @@ def _near(rare: dict[int, list[str]], near: int, span: int):
 
 def _item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, list[str]]]]:
     """The items in blocks of about block_words words, so that any number of them can be searched for."""
+    items = items.where(F.col("item_id").isNotNull())
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(chars // (4 * block_words)) + 1
     for b in range(blocks):

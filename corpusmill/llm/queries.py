@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import urls
 from corpusmill.llm import boilerplate, cutoff, frequent, langid, leak, seen, spam, subjects, textstats, tokens
-from corpusmill.sources.tables import load
+from corpusmill.sources.tables import load, load_texts
 
 
 def p1_found(spark: SparkSession, directory: str) -> DataFrame:
@@ -43,8 +43,8 @@ def p3_errors(spark: SparkSession, directory: str) -> DataFrame:
 
 def _texts(spark: SparkSession, directory: str) -> DataFrame:
     """(tbl, id, text, label) of documents and filtered_corpus."""
-    docs = load(spark, directory, "documents").select(F.lit("documents").alias("tbl"), F.col("doc_id").cast("string").alias("id"), "text", F.col("lang").alias("label"))
-    corpus = load(spark, directory, "filtered_corpus").select(F.lit("filtered_corpus").alias("tbl"), "id", "text", F.try_element_at("metadata", F.lit("language")).alias("label"))
+    docs = load_texts(spark, directory, "documents").select(F.lit("documents").alias("tbl"), F.col("doc_id").cast("string").alias("id"), "text", F.col("lang").alias("label"))
+    corpus = load_texts(spark, directory, "filtered_corpus").select(F.lit("filtered_corpus").alias("tbl"), "id", "text", F.try_element_at("metadata", F.lit("language")).alias("label"))
     return docs.unionByName(corpus)
 
 
@@ -91,7 +91,7 @@ def p4_cutoffs(spark: SparkSession, directory: str) -> DataFrame:
 
 def site_documents(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id, site, day, text, lang) of the documents."""
-    docs = load(spark, directory, "documents")
+    docs = load_texts(spark, directory, "documents")
     return docs.select("doc_id", urls.site_of(F.col("url"), F.col("source")).alias("site"), F.to_date("fetched_at").alias("day"), "text", "lang")
 
 
@@ -132,12 +132,12 @@ def p7_found(spark: SparkSession, directory: str) -> DataFrame:
 
 def p7_stats(spark: SparkSession, directory: str) -> DataFrame:
     """Statistics of every document with text; see textstats.statistics."""
-    return textstats.statistics(textstats.sums(load(spark, directory, "documents")))
+    return textstats.statistics(textstats.sums(load_texts(spark, directory, "documents")))
 
 
 def p8_ids(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id, ids): every document's text in the vocabulary byte_bpe_50k."""
-    return tokens.encode(load(spark, directory, "documents"))
+    return tokens.encode(load_texts(spark, directory, "documents"))
 
 
 def p8_decoded(spark: SparkSession, directory: str) -> DataFrame:
@@ -147,12 +147,12 @@ def p8_decoded(spark: SparkSession, directory: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id, item_id): documents that hold at least 12 consecutive words of an evaluation item."""
-    return leak.phrases(leak.build_index(load(spark, directory, "documents")), load(spark, directory, "benchmark"))
+    return leak.phrases(leak.build_index(load_texts(spark, directory, "documents")), load(spark, directory, "benchmark"))
 
 
 def p9_near(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id, item_id, terms): documents with most of an item's rarest terms close together."""
-    return leak.near_matches(leak.build_index(load(spark, directory, "documents")), load(spark, directory, "benchmark"))
+    return leak.near_matches(leak.build_index(load_texts(spark, directory, "documents")), load(spark, directory, "benchmark"))
 
 
 def p9_items(spark: SparkSession, directory: str) -> DataFrame:
@@ -167,7 +167,7 @@ def p10_found(spark: SparkSession, directory: str) -> DataFrame:
 
 def p10_pages(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id, chars, covered, clauseless, spam_share) of every document with text."""
-    return spam.measure(load(spark, directory, "documents"))
+    return spam.measure(load_texts(spark, directory, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_errors, p4_found, p4_cutoffs, p5_found, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}

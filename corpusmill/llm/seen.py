@@ -149,13 +149,13 @@ def arrivals(events: DataFrame, history: DataFrame, rate: float = RATE) -> DataF
 
     events: (stream, id, pos, key), arriving in order of (id, pos) in each
     stream. history: (stream, key), known before the stream's first event.
-    Null keys take no part; an empty key is a key like any other. The result
+    Null keys, and events without a place, take no part; an empty key is a key like any other. The result
     is a table in the shared folder, since it is read more than once.
     """
     place = [F.col(c).cast("long").alias(c) for c in ("id", "pos")]
     before = [F.lit(-1).cast("long").alias(c) for c in ("id", "pos")]
     rows = events.select("stream", F.lit(1).alias("gen"), *place, "key").unionByName(history.select("stream", F.lit(0).alias("gen"), *before, "key"))
-    hashed = rows.where(F.col("key").isNotNull()).select(
+    hashed = rows.where(F.col("key").isNotNull() & F.col("id").isNotNull() & F.col("pos").isNotNull()).select(
         "stream", "gen", "id", "pos", F.xxhash64("stream", "key").alias("h1"), F.xxhash64("key", "stream", F.lit("second")).alias("h2"), F.lit(MAYBE).alias("status")
     )
     # a key's first arrivals meet in one shard; known repeats need none and are spread

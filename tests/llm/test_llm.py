@@ -358,3 +358,44 @@ def test_stuffed_pages(frame):
     keyword = "buy tram stop Xburg, cheap tram stop, best tram stop Ytown, price tram stop\n" * 10
     cases = [prose * 5, keyword, "https://a.example/x-y\n" * 20, "#buyTram #cheapTramXburg #bestTram " * 10, prose * 5 + "\nhttps://a.example/x", "- tram stop, Ab/Cd\n- ring road, Ef/Gh\n" * 3, None, "", "buy", keyword + prose * 20]
     assert {r.doc_id for r in spam.stuffed(spam.measure(frame(list(enumerate(cases)), DOC))).collect()} == {1, 2, 3}
+
+
+# --- all: nulls anywhere, empty tables, clashing columns ---
+
+
+def _everything(spark, frame, docs):
+    """Every operator on docs, each result collected."""
+    text_rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text", F.col("lang").alias("label"))
+    model = langid.fit(text_rows)
+    rules = subjects.fit(docs, frame([(1, "a"), (None, "a"), (1, None)], "doc_id long, subject string"), ["a", "b"])
+    items = frame([(1, "some item"), (None, "x"), (2, None)], "item_id long, text string")
+    keyed = boilerplate.boilerplate(docs)
+    results = [
+        langid.segments(text_rows, model),
+        keyed,
+        boilerplate.without_lines(docs, keyed),
+        subjects.assigned(subjects.scores(docs, rules)),
+        textstats.statistics(textstats.sums(docs, chunk_chars=50)),
+        tokens.encode(docs),
+        leak.phrases(leak.build_index(docs), items),
+        leak.near_matches(leak.build_index(docs), items),
+        spam.stuffed(spam.measure(docs)),
+        frequent.frequent_items(docs, {"site": (F.col("site"), "0.5")}),
+        seen.answers(seen.arrivals(docs.select(F.lit("s").alias("stream"), F.col("doc_id").alias("id"), F.lit(0).alias("pos"), F.col("site").alias("key")), frame([("s", None)], "stream string, key string"))),
+        cutoff.kept_records(cutoff.valid_records(docs, F.col("doc_id"), F.col("site"), F.col("score")), cutoff.cutoffs(cutoff.valid_records(docs, F.col("doc_id"), F.col("site"), F.col("score")), frame([("*", None)], "source string, keep_pct long"))),
+    ]
+    return [r.collect() for r in results]
+
+
+CLASH = "doc_id long, text string, lang string, site string, day date, score double, line string, n long, salt int, source string, words string, units string, k1 long, cluster long"
+
+
+def test_nulls_in_every_column_and_repeated_rows(spark, frame):
+    row = (1, "Some text is here, and it was read by all of them.", "en", "s", date(2024, 1, 1), 0.5, "x", 1, 1, "x", "x", "x", 1, 1)
+    rows = [row, row] + [tuple(None if i == k else v for i, v in enumerate(row)) for k in range(len(row))] + [(None,) * len(row), (2, "", *row[2:]), (3, "long " * 5000, *row[2:])]
+    results = _everything(spark, frame, frame(rows, CLASH, 3))
+    assert len(results[5]) == len(rows)  # every row is encoded
+
+
+def test_empty_tables(spark, frame):
+    assert all(r == [] for r in _everything(spark, frame, frame([], CLASH)))
