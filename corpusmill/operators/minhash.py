@@ -22,6 +22,8 @@ from corpusmill.operators.components import components
 SHINGLE, BANDS, ROWS = 5, 14, 8
 SIMILARITY = 0.8
 PRIME = (1 << 31) - 1
+#: Documents of a bucket up to which they are chained in one piece.
+CHAIN = 100_000
 
 
 def coefficients(n: int = BANDS * ROWS, seed: int = 1) -> list[tuple[int, int]]:
@@ -113,8 +115,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     members = signed.select("doc_id", "digest").join(copies, "digest").select("doc_id", "rep")
     reps = signed.join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     banded = bands(reps)
-    order = Window.partitionBy("band", "key").orderBy("doc_id")
-    chained = banded.select(F.lag("doc_id").over(order).alias("a"), F.col("doc_id").alias("b")).where(F.col("a").isNotNull())
+    # a bucket with a third of all documents is chained by ranges of ids, others as a whole
+    sizes = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ranged = banded.join(sizes, ["band", "key"]).withColumn("range", F.when(F.col("n") > CHAIN, F.shiftright("doc_id", 16)).otherwise(F.lit(0)))
+    order = Window.partitionBy("band", "key", "range").orderBy("doc_id")
+    chained = ranged.select(F.lag("doc_id").over(order).alias("a"), F.col("doc_id").alias("b")).where(F.col("a").isNotNull())
     pairs = bucket_links(banded).unionByName(chained).distinct()
     left, right = (reps.select(F.col("doc_id").alias(c), F.col("hashes").alias(f"h{c}")) for c in ("a", "b"))
     common = F.size(F.array_intersect("ha", "hb"))

@@ -154,7 +154,8 @@ def chunk_assign(spark, d):
 @query
 def even_split(spark, d):
     """(item_id, part): the items in 7 parts of sizes that differ by at most one."""
-    return load(spark, d, "benchmark").select("item_id", F.expr("ntile(7) over (order by item_id)").alias("part"))
+    items = load(spark, d, "benchmark").select("item_id")
+    return writers.with_position(items, "item_id").select("item_id", writers.even_part(F.col("position"), items.count(), 7).alias("part"))
 
 
 @query

@@ -93,6 +93,14 @@ def file_number(position: Column, rows: int) -> Column:
     return (F.floor((position - 1) / rows) + 1).cast("long")
 
 
+def even_part(position: Column, rows: int, parts: int) -> Column:
+    """Number from 1 of the part that holds the row; sizes differ by at most one, the first parts are larger."""
+    small, larger = divmod(rows, parts)
+    edge = larger * (small + 1)
+    inside = F.floor((position - 1) / (small + 1)) + 1
+    return F.when(position <= edge, inside).otherwise(F.floor((position - 1 - edge) / max(small, 1)) + 1 + larger).cast("int")
+
+
 def shard_path(position: Column, rows: int, suffix: str = "jsonl.zst") -> Column:
     """Path of the rolling shard that holds the row: file n is shard_{n % 10 + 1}/shard_{n // 10 + 1}."""
     n = F.floor((position - 1) / rows).cast("int")

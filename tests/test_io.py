@@ -77,3 +77,10 @@ def test_incremental_stream(spark, frame, rows, tmp_path):
         stream = spark.readStream.schema(SCHEMA).parquet(source)
         dedup_stream(stream, F.col("t"), "i", out, f"file://{tmp_path}/check", frame([("known",)], "key string")).awaitTermination()
     assert rows(spark.read.schema(SCHEMA).option("basePath", f"{out}/records").parquet(f"{out}/records"), "i") == [(1,), (3,), (5,), (6,)]
+
+
+@pytest.mark.parametrize("n, parts, sizes", [(10, 4, [3, 3, 2, 2]), (3, 3, [1, 1, 1]), (2, 5, [1, 1])])
+def test_even_parts(frame, n, parts, sizes):
+    df = frame([(i,) for i in range(1, n + 1)], "position long")
+    got = df.groupBy(writers.even_part(F.col("position"), n, parts).alias("p")).count().sort("p").collect()
+    assert [r["count"] for r in got] == sizes
