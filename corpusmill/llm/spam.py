@@ -99,10 +99,10 @@ def covered(words: list[str], run: int = RUN) -> np.ndarray:
 
 
 def page(text: str) -> tuple[int, float, float, float]:
-    """(chars, covered, clauseless, spam_share) of a text: characters in units, and shares of them."""
+    """(chars, covered, clauseless, spam_share) of a text: its characters, and shares of those in units."""
     parts = units.units_of(text)
     if not parts:
-        return 0, 0.0, 0.0, 0.0
+        return len(text), 0.0, 0.0, 0.0
     words, counts, kinds = [], [], []
     for u in parts:
         kind, found, _ = units.judge(u)
@@ -122,7 +122,7 @@ def page(text: str) -> tuple[int, float, float, float]:
     marked = np.array([k == units.ITEM and units.is_marked_item(u) for k, u in zip(kinds, parts)])
     spam |= bare & (share >= COVERED) & (np.array(counts) >= 4) & (kind != units.JUNK) & ~marked
     total = chars.sum()
-    return int(total), float((chars * share).sum() / total), float(chars[bare].sum() / total), float(chars[spam].sum() / total)
+    return len(text), float((chars * share).sum() / total), float(chars[bare].sum() / total), float(chars[spam].sum() / total)
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +137,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def measure(docs: DataFrame) -> DataFrame:
     """(doc_id, chars, covered, clauseless, spam_share) of every document of docs (doc_id, text) with text.
 
-    Null texts have no row, blank ones zeros; nothing is shuffled.
+    Null texts have no row, blank ones shares of zero; nothing is shuffled.
     """
     return docs.select("doc_id", "text").where(F.col("text").isNotNull()).mapInArrow(_measure, _PAGE)
 
