@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.llm.units import CAMEL
+
 #: Bounds of the fit: sampled rows of a declared language, and words kept of it.
 SAMPLE_ROWS = 800
 VOCABULARY = 8000
@@ -149,6 +151,8 @@ class _Scorer:
         for row, text in enumerate(texts):
             if not text:
                 continue
+            if "#" in text:  # words run together in tags
+                text = CAMEL.sub(" ", text)
             tokens = _TOKEN.findall(text.lower())
             stream += [number[t] if t in number else add(t) for t in tokens]
             stream.append(0)

@@ -48,7 +48,6 @@ ABOUT = 0.7
 SHARE, FEW = 1 / 3, 0.2
 MIN_CHARS = 30
 
-_CAMEL = re.compile(r"(?<=[a-zß-ÿ0-9])(?=[A-ZÀ-Þ])")
 _ALNUM = re.compile(r"[^\W_]")
 _HAN_RUN = re.compile(r"[㐀-䶿一-鿿]{2,}")
 _CUT = "doc_id long, lang string, items array<string>"
@@ -58,7 +57,7 @@ _SCORES = "doc_id long, subject string, about long, judged long, units long, cha
 def items_of(unit: str) -> set[str]:
     """What a unit can match: its words of two letters and more in lower case, and its Han bigrams."""
     if "#" in unit:
-        unit = _CAMEL.sub(" ", unit)
+        unit = units.CAMEL.sub(" ", unit)
     unit = unit.lower()
     found = {w for w in units.WORD.findall(unit) if len(w) > 1 and w[0] < "㐀"}
     if unit and max(unit) >= "㐀":
@@ -121,7 +120,7 @@ class RuleModel:
     def count(self, text: str) -> tuple[dict[int, int], list[str]]:
         """(units about each subject number, -1 for none; the units) of a text."""
         if "#" in text:
-            text = _CAMEL.sub(" ", text)
+            text = units.CAMEL.sub(" ", text)
         parts = units.units_of(text)
         counts: dict[int, int] = defaultdict(int)
         known, judge, words, han = self._words.intersection, self._judge, units.WORD.findall, not text.isascii()

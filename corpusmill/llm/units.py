@@ -54,6 +54,8 @@ SELLING_HAN = re.compile("优惠|便宜|打折|购买|价格|推荐|促销|特
 
 #: A word stands by itself: letters next to digits are codes.
 WORD = re.compile(r"\b[^\W\d_]+\b")
+#: Where the words of a tag such as #bestNightCoach meet.
+CAMEL = re.compile(r"(?<=[a-zß-ÿ0-9])(?=[A-ZÀ-Þ])")
 HAN = re.compile(r"[㐀-䶿一-鿿]")
 #: Where a unit ends: after the stop of a sentence, at line ends and at the marks that part cells and items.
 BREAK = re.compile(r"(?<=[.!?])[\"”»)]*[ \t\r\xa0]+|(?<=[。！？；])|[\n;|\t]+")
