@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import urls
 from corpusmill.llm import boilerplate, cutoff, frequent, langid, leak, seen, spam, subjects, textstats, tokens
+from corpusmill.scratch import materialize
 from corpusmill.sources.tables import load, load_texts
 
 
@@ -41,6 +42,19 @@ def p3_errors(spark: SparkSession, directory: str) -> DataFrame:
     return seen.error_report(seen.answers(_arrivals(spark, directory)))
 
 
+#: Shards of the kept chains.
+CHAIN_SHARDS = 16
+
+
+def p3_service(spark: SparkSession, directory: str) -> DataFrame:
+    """(request_id, pos, maybe): requested keys asked of chains that were kept of the known keys and crawled urls."""
+    known = load(spark, directory, "seen_keys").select(F.col("seen_key").alias("key"))
+    chains = materialize(seen.extend_chains(known, CHAIN_SHARDS), "chains")
+    chains = materialize(seen.extend_chains(load(spark, directory, "crawl_records").select(F.col("url").alias("key")), CHAIN_SHARDS, chains), "chains")
+    asked = load(spark, directory, "check_requests").select("request_id", F.posexplode("elements").alias("pos", "key"))
+    return seen.ask_chains(asked, CHAIN_SHARDS, chains).select("request_id", "pos", "maybe")
+
+
 def _texts(spark: SparkSession, directory: str) -> DataFrame:
     """(tbl, id, text, label) of documents and filtered_corpus."""
     docs = load_texts(spark, directory, "documents").select(F.lit("documents").alias("tbl"), F.col("doc_id").cast("string").alias("id"), "text", F.col("lang").alias("label"))
@@ -170,4 +184,4 @@ def p10_pages(spark: SparkSession, directory: str) -> DataFrame:
     return spam.measure(load_texts(spark, directory, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_errors, p4_found, p4_cutoffs, p5_found, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_errors, p3_service, p4_found, p4_cutoffs, p5_found, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}

@@ -15,10 +15,12 @@ same string if both their 64-bit hashes agree.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from math import ceil, log, log2
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +65,24 @@ class BloomChain:
         """False-positive rate that the layers in use can add up to."""
         return sum(layer["rate"] for layer in self.layers)
 
+    def to_bytes(self) -> bytes:
+        """The chain as bytes, for keeping it instead of the keys."""
+        head = [{k: v for k, v in layer.items() if k != "words"} for layer in self.layers]
+        meta = json.dumps({"rate": self.rate, "capacity": self.capacity, "layers": head}).encode()
+        return len(meta).to_bytes(4, "big") + meta + b"".join(layer["words"].tobytes() for layer in self.layers)
+
+    @staticmethod
+    def from_bytes(raw: bytes) -> BloomChain:
+        """The chain of to_bytes; it can take in more keys."""
+        at = 4 + int.from_bytes(raw[:4], "big")
+        meta = json.loads(raw[4:at])
+        chain = BloomChain(meta["rate"], meta["capacity"])
+        for layer in meta["layers"]:
+            n = layer["size"] // 64 + 1
+            chain.layers.append(layer | {"words": np.frombuffer(raw, np.uint64, n, at).copy()})
+            at += 8 * n
+        return chain
+
     @staticmethod
     def _place(layer: dict, k: int, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = (h1 + np.uint64(k) * (h2 | np.uint64(1))) % np.uint64(layer["size"])
@@ -195,3 +215,54 @@ def error_report(answered: DataFrame) -> DataFrame:
     return answered.groupBy("stream").agg(
         F.count(F.lit(1)).alias("asked"), F.sum(F.col("seen").cast("long")).alias("seen"), wrong.alias("wrong"), F.coalesce(F.try_divide(wrong, unseen), F.lit(0.0)).alias("wrong_rate")
     )
+
+
+# --- chains kept instead of the keys ---
+
+CHAINS = "shard int, keys long, bound double, chain binary"
+
+
+def _hashed(keys: DataFrame, shards: int) -> DataFrame:
+    """(shard, h1, h2): the distinct non-null keys (key), sharded by hash."""
+    pairs = keys.where(F.col("key").isNotNull()).select(F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit("second")).alias("h2")).distinct()
+    return pairs.select(F.pmod("h1", F.lit(shards)).cast("int").alias("shard"), "h1", "h2")
+
+
+def _pair(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(pdf[c].to_numpy(np.int64).view(np.uint64) for c in ("h1", "h2"))
+
+
+def extend_chains(keys: DataFrame, shards: int, chains: DataFrame | None = None, rate: float = RATE) -> DataFrame:
+    """CHAINS with the keys (key) taken in, one row per shard that has any; chains are those of earlier keys.
+
+    Choose shards so that one shard's new keys and chain fit in a task: at a
+    rate of 1e-4 a key takes about 3 bytes. Keys that a chain already answers
+    for are not added again.
+    """
+
+    def extend(new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+        chain = BloomChain.from_bytes(old["chain"].iloc[0]) if len(old) else BloomChain(rate)
+        h1, h2 = _pair(new)
+        fresh = ~chain.maybe(h1, h2)
+        chain.add(h1[fresh], h2[fresh])
+        shard = (new if len(new) else old)["shard"].iloc[0]
+        return pd.DataFrame([(shard, chain.keys, chain.bound, chain.to_bytes())], columns=["shard", "keys", "bound", "chain"])
+
+    old = keys.sparkSession.createDataFrame([], CHAINS) if chains is None else chains
+    return _hashed(keys, shards).groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(extend, CHAINS)
+
+
+def ask_chains(keys: DataFrame, shards: int, chains: DataFrame) -> DataFrame:
+    """keys (key, ...) with column maybe: False if the key surely isn't in the chains; null keys are False.
+
+    Every distinct key is asked once, so a key of many rows costs no more.
+    """
+
+    def ask(new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+        found = BloomChain.from_bytes(old["chain"].iloc[0]).maybe(*_pair(new)) if len(old) else np.zeros(len(new), bool)
+        return new.loc[found, ["h1", "h2"]]
+
+    hits = _hashed(keys, shards).groupBy("shard").cogroup(chains.groupBy("shard")).applyInPandas(ask, "h1 long, h2 long").withColumn("_hit", F.lit(True))
+    named = keys.withColumn("_h1", F.xxhash64("key")).withColumn("_h2", F.xxhash64("key", F.lit("second")))
+    joined = named.join(hits, (named["_h1"] == hits["h1"]) & (named["_h2"] == hits["h2"]), "left")
+    return joined.withColumn("maybe", F.coalesce("_hit", F.lit(False)) & F.col("key").isNotNull()).drop("_h1", "_h2", "h1", "h2", "_hit")

@@ -133,6 +133,20 @@ def test_seen_before_of_nothing(frame):
     assert seen.answers(seen.arrivals(empty, frame([], "stream string, key string"))).count() == 0
 
 
+def test_kept_chains(frame, rows):
+    known = frame([(f"k{i}",) for i in range(2000)] + [(None,), ("k1",)], "key string")
+    chains = seen.extend_chains(known, 4)
+    assert sum(r.keys for r in chains.collect()) in range(1990, 2001)
+    more = seen.extend_chains(frame([(f"n{i}",) for i in range(500)] + [("k1",)], "key string"), 4, chains)
+    assert {r.shard for r in more.collect()} == {0, 1, 2, 3} and sum(r.keys for r in more.collect()) in range(2480, 2501)
+    asked = frame([(i, f"k{i}") for i in range(100)] + [(200 + i, f"n{i}") for i in range(50)] + [(1000 + i, f"new{i}") for i in range(3000)] + [(1, None), (7, "k1"), (8, "k1")], "i long, key string")
+    got = seen.ask_chains(asked, 4, more).collect()
+    assert len(got) == 3153
+    assert all(r.maybe for r in got if r.key and not r.key.startswith("new")) and not any(r.maybe for r in got if r.key is None)
+    assert sum(r.maybe for r in got if r.key and r.key.startswith("new")) <= 5
+    assert seen.ask_chains(asked.limit(3), 4, chains.where("false")).where("maybe").count() == 0
+
+
 # --- p4 ---
 
 
