@@ -13,7 +13,7 @@ import re
 CLAUSE_WORDS = frozenset(
     """
     and but that which who whom once when while where why how because although though until before after since if whether as than
-    is are was were be been has have had will would can could should must may might not they them their his her its it we you
+    is are isn aren was were wasn weren be been has have had hasn haven don doesn didn won will would can could should must may might not they them their his her its it we you
     there this these those
     und aber dass daß weil wenn ob als ist sind war waren wird werden wurde hat haben hatte kann können muss müssen soll
     nicht kein nur noch auch er sie es ihr darüber doch gibt
@@ -98,10 +98,15 @@ def judge(unit: str) -> tuple[int, list[str], int]:
         if "cher" in words:
             phrase = words.count("pas")
             small, clause = small - phrase, clause - phrase
+        if "but" in words and ("au" in words or "de" in words):  # a goal, not a conjunction
+            phrase = words.count("but")
+            small, clause = small - phrase, clause - phrase
     visible = len(unit) - unit.count(" ")
     links = _MAY_LINK.search(unit) and LINK.search(unit)
     prose = n >= SENTENCE_WORDS and small >= SMALL_SHARE * n and letters >= 0.55 * visible
-    if prose and selling and (clause <= 0 and (selling >= 2 or n <= 12) or selling >= 0.15 * n and clause <= 0.05 * n):
+    if prose and selling and (clause <= 0 and (selling >= 2 or n <= 12) or selling >= 0.15 * n and clause <= 0.05 * n or selling >= max(2, 0.25 * n) and clause <= 0.15 * n):
+        prose = False
+    if prose and "SKU" in unit and TAG.search(unit):
         prose = False
     if prose and not links:
         if n >= LONG_WORDS or not _ITEM.match(unit) and (clause >= 1 and n >= 6 or _STOP.search(unit)):
