@@ -130,7 +130,8 @@ def p6_scores(spark: SparkSession, directory: str) -> DataFrame:
     docs = site_documents(spark, directory)
     names = [r.subject for r in load(spark, directory, "subjects").select("subject").sort("subject").collect()]  # the subject areas
     model = subjects.fit(docs, load(spark, directory, "subject_labels"), names)
-    return subjects.scores(boilerplate.without_lines(docs, boilerplate.boilerplate(docs)), model)
+    cleaned = boilerplate.without_lines(docs.withColumn("chars", F.length("text")), boilerplate.boilerplate(docs))
+    return subjects.scores(cleaned, model)
 
 
 def p6_mix(spark: SparkSession, directory: str) -> DataFrame:

@@ -146,12 +146,12 @@ def _score(model: RuleModel):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text, chars in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 counts, parts = model.count(text)
                 judged = sum(n for s, n in counts.items() if s >= 0)
                 if judged < FEW * len(parts) and unreadable(parts):
                     continue
-                out += [(doc_id, model.subjects[s], n, judged, len(parts), len(text)) for s, n in counts.items() if s >= 0]
+                out += [(doc_id, model.subjects[s], n, judged, len(parts), chars) for s, n in counts.items() if s >= 0]
             types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, types)], names=["doc_id", "subject", "about", "judged", "units", "chars"])
 
@@ -164,7 +164,8 @@ def scores(docs: DataFrame, model: RuleModel) -> DataFrame:
     docs: (doc_id, text). Null texts and texts without a judged unit have no
     rows; nothing is shuffled.
     """
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).mapInArrow(_score(model), _SCORES)
+    chars = F.col("chars") if "chars" in docs.columns else F.length("text")
+    return docs.select("doc_id", "text", chars.cast("long").alias("chars")).where(F.col("text").isNotNull()).mapInArrow(_score(model), _SCORES)
 
 
 def assigned(scored: DataFrame, share: float = SHARE) -> DataFrame:
