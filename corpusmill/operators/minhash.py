@@ -3,8 +3,8 @@
 Five-word shingles, 14 bands of 8 hashes: a pair of similarity 0.8 meets in a
 band with probability 0.92. Exact copies (equal shingle sets) are collapsed to
 one representative before banding, so a text with a third of all copies is one
-row. In every bucket each document is linked to the bucket's first and to its
-predecessor, never all to all; links are verified against the shingles.
+row. All pairs of a bucket are verified against the shingles; a large bucket is
+cut into blocks, and every pair of blocks is a group of its own.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.components import components
@@ -22,8 +22,8 @@ from corpusmill.operators.components import components
 SHINGLE, BANDS, ROWS = 5, 14, 8
 SIMILARITY = 0.8
 PRIME = (1 << 31) - 1
-#: Documents of a bucket up to which they are chained in one piece.
-CHAIN = 100_000
+#: Documents of a block; a bucket has as many blocks as it needs, and all pairs of them are compared.
+BLOCK = 2048
 
 
 def coefficients(n: int = BANDS * ROWS, seed: int = 1) -> list[tuple[int, int]]:
@@ -88,10 +88,10 @@ def fast_signatures(docs: DataFrame, n: int = SHINGLE, pairs: list[tuple[int, in
     return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, signature array<long>, digest string, hashes array<long>")
 
 
-def bands(signed: DataFrame, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, band, key): the bucket of each document in each band."""
+def bands(signed: DataFrame, n_bands: int = BANDS, rows: int = ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, *keep, band, key): the bucket of each document in each band, with the columns to keep of signed."""
     keys = F.array(*[F.xxhash64(F.lit(k), F.array_join(F.transform(F.slice("signature", k * rows + 1, rows), lambda x: x.cast("string")), ",")) for k in range(n_bands)])
-    return signed.select("doc_id", F.posexplode(keys).alias("band", "key"))
+    return signed.select("doc_id", *keep, F.posexplode(keys).alias("band", "key"))
 
 
 def bucket_links(banded: DataFrame) -> DataFrame:
@@ -100,13 +100,33 @@ def bucket_links(banded: DataFrame) -> DataFrame:
     return banded.join(first, ["band", "key"]).where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
 
 
+def bucket_pairs(banded: DataFrame, similarity: float, block: int | None = None) -> DataFrame:
+    """(a, b), a < b: all pairs of banded (doc_id, size, band, key) with a common bucket; distinct over all bands.
+
+    size is the number of shingles of a document: pairs whose sizes alone rule
+    the similarity out are left away, which loses no link. The work is
+    quadratic in a bucket's members, in groups of at most about two blocks.
+    """
+    sizes = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / (block or BLOCK)).cast("int")
+    placed = banded.join(sizes, ["band", "key"]).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    met = placed.select("doc_id", "size", "band", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.select("doc_id", "size", "band", "key", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    group = ["band", "key", "low", "high"]
+    one, two = (met.select(*group, *(F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "block"))) for x in "ab")
+    # two documents of one block meet in its pair with itself only
+    apart = (F.col("doc_id_a") < F.col("doc_id_b")) & ((F.col("block_a") != F.col("block_b")) | (F.col("low") == F.col("high")))
+    close = F.least("size_a", "size_b") / F.greatest("size_a", "size_b") >= similarity
+    return one.join(two, group).where(apart & close).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, links): every document of docs (doc_id unique, text) with the smallest id of its class.
 
-    Classes are the connected components of verified links: pairs from a
+    Classes are the connected components of verified links: all pairs with a
     common bucket whose shingle sets have at least the given Jaccard
-    similarity, and exact copies. links counts the verified links of the
-    document's representative. Documents without shingles are their own class.
+    similarity, and exact copies. links counts the representatives that
+    the document's representative is linked to. Documents without shingles are their own class.
     """
     from corpusmill.scratch import materialize
 
@@ -114,13 +134,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     copies = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     members = signed.select("doc_id", "digest").join(copies, "digest").select("doc_id", "rep")
     reps = signed.join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    banded = bands(reps)
-    # a bucket with a third of all documents is chained by ranges of ids, others as a whole
-    sizes = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    ranged = banded.join(sizes, ["band", "key"]).withColumn("range", F.when(F.col("n") > CHAIN, F.shiftright("doc_id", 16)).otherwise(F.lit(0)))
-    order = Window.partitionBy("band", "key", "range").orderBy("doc_id")
-    chained = ranged.select(F.lag("doc_id").over(order).alias("a"), F.col("doc_id").alias("b")).where(F.col("a").isNotNull())
-    pairs = bucket_links(banded).unionByName(chained).distinct()
+    pairs = bucket_pairs(bands(reps.withColumn("size", F.size("hashes")), keep=("size",)), similarity)
     left, right = (reps.select(F.col("doc_id").alias(c), F.col("hashes").alias(f"h{c}")) for c in ("a", "b"))
     common = F.size(F.array_intersect("ha", "hb"))
     jaccard = common / (F.size("ha") + F.size("hb") - common)

@@ -130,6 +130,24 @@ def test_near_duplicates_against_brute_force(frame):
     assert all(found[i] == i for i, s in sets.items() if not s)
 
 
+def test_near_duplicates_compares_all_pairs_of_mixed_buckets(frame, monkeypatch):
+    template = [f"t{i}" for i in range(200)]
+    docs = []
+    for k in range(16):
+        own = list(template)
+        own[10 * k + 10] = f"own{k}"
+        docs += [(k, " ".join(own)), (100 - k, " ".join([*own[:-1], "end"]))]  # twins share buckets with the texts between them
+    sets = {i: _shingles(t) for i, t in docs}
+    alike = [(i, j) for i, j in itertools.combinations(sorted(sets), 2) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.95]
+    assert alike == [(k, 100 - k) for k in range(16)]
+    for block in (minhash.BLOCK, 3):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        strict = {r.doc_id: (r.class_id, r.links) for r in minhash.near_duplicates(frame(docs, DOC), 0.95).collect()}
+        assert strict == {i: (min(i, 100 - i), 1) for i in sets}
+        loose = minhash.near_duplicates(frame(docs, DOC), 0.8).collect()
+        assert all(r.class_id == 0 and r.links == len(docs) - 1 for r in loose)
+
+
 def test_signatures_agree(frame):
     docs = frame([(1, "a b c d e f g"), (2, "a b c"), (3, None), (4, "A-b c d e F g!")], DOC)
     slow = {r.doc_id: r.signature for r in minhash.signatures(minhash.shingles(docs)).collect()}
