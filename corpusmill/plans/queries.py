@@ -660,10 +660,11 @@ def failed_files(spark, d):
 
 @query
 def rejects_by_language(spark, d):
-    """(language, rows): documents that aren't English, written by guessed language and read again."""
+    """(language, rows): documents that aren't English, written by guessed language ('none' without one) and read again."""
     path = _fresh(spark, "by-language")
-    told = language.with_language(_docs(spark, d).select("doc_id", "text").where("text is not null"))
-    writers.write_rejects(told.where("language <> 'en'").select("doc_id", "language"), path, "language")
+    told = language.with_language(_docs(spark, d).select("doc_id", "text"))
+    rejected = told.where("not language <=> 'en'").select("doc_id", F.coalesce("language", F.lit("none")).alias("language"))
+    writers.write_rejects(rejected, path, "language")
     return spark.read.schema("doc_id long, language string").json(path).groupBy("language").agg(F.count(F.lit(1)).alias("rows"))
 
 

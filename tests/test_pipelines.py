@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from corpusmill.plans import pipelines
+from corpusmill.plans import pipelines, queries as plans
 
 
 
@@ -51,3 +51,10 @@ def test_classifier_round(spark, frame):
     kept, evaluation = pipelines.run_classifier(positive, negative, corpus, above=0.5)
     assert [r.doc_id for r in kept.select("doc_id").collect() if r.doc_id != 3] == [1]
     assert evaluation.select(F.col("accuracy")).first()[0] > 0.9
+
+
+def test_rejects_by_language_keeps_texts_without_a_language(frame, tmp_path):
+    texts = ["the end of the road", "der Zug und die Bahn", "今天天气很好", "xyz", "", None]
+    frame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(plans.QUERIES["rejects_by_language"](frame([], "x int").sparkSession, str(tmp_path)).collect())
+    assert got == {"de": 1, "none": 4}
