@@ -670,8 +670,9 @@ def rejects_by_language(spark, d):
 
 @query
 def pipeline_corpus(spark, d):
-    """(reject_stage, docs) of the corpus pipeline over the documents, by source."""
-    docs = _docs(spark, d).where("source is not null").select("doc_id", F.col("source").alias("folder"), "text")
+    """(reject_stage, docs) of the corpus pipeline over all documents, by source; by site of the url where source is null."""
+    folder = F.coalesce("source", urls.site_of(F.col("url"), F.col("source")), F.lit(""))
+    docs = _docs(spark, d).select("doc_id", folder.alias("folder"), "text")
     return pipelines.curate(docs).groupBy(F.coalesce("reject_stage", F.lit("kept")).alias("reject_stage")).agg(F.count(F.lit(1)).alias("docs"))
 
 

@@ -58,3 +58,10 @@ def test_rejects_by_language_keeps_texts_without_a_language(frame, tmp_path):
     frame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     got = dict(plans.QUERIES["rejects_by_language"](frame([], "x int").sparkSession, str(tmp_path)).collect())
     assert got == {"de": 1, "none": 4}
+
+
+def test_pipeline_corpus_counts_documents_without_source(frame, tmp_path):
+    docs = [(1, text(1), "a.b", None), (2, text(2), None, "http://www.c.d/x"), (3, text(2), None, "http://c.d/y"), (4, "der Bus und die Bahn", None, "?"), (5, None, None, "http://c.d/")]
+    frame(docs, "doc_id long, text string, source string, url string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(plans.QUERIES["pipeline_corpus"](frame([], "x int").sparkSession, str(tmp_path)).collect())
+    assert got == {"kept": 2, "minhash": 1, "language": 2}
