@@ -1,6 +1,6 @@
 """Near-duplicates by MinHash signatures and banding.
 
-Five-word shingles, 14 bands of 8 hashes: a pair of similarity 0.8 meets in a
+Five-word shingles of Unicode words (parity queries: ASCII words), 14 bands of 8 hashes: a pair of similarity 0.8 meets in a
 band with probability 0.92. Exact copies (equal shingle sets) are collapsed to
 one representative before banding, so a text with a third of all copies is one
 row. All pairs of a bucket are verified against the shingles; a large bucket is
@@ -25,6 +25,13 @@ PRIME = (1 << 31) - 1
 #: Documents of a block; a bucket has as many blocks as it needs, and all pairs of them are compared.
 BLOCK = 2048
 
+#: Words of the parity queries, and of near_duplicates: letters, digits and their marks in any script, one by one
+#: in the scripts without blanks between words (Han, kana, Thai, Lao, Burmese, Khmer).
+ASCII_WORD = "[a-z0-9]+"
+_MARK = "[\u0300-\u036f\u0591-\u05c7\u0610-\u061a\u064b-\u065f\u0670\u06d6-\u06ed\u0900-\u0903\u093a-\u094f\u0951-\u0957\u0981-\u0983\u09bc-\u09cd\u0a01-\u0a4d\u0a81-\u0acd\u0b01-\u0b4d\u0b82-\u0bcd\u0c00-\u0c4d\u0c81-\u0ccd\u0d00-\u0d4d]"
+_SINGLE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+UNICODE_WORD = f"[{_SINGLE}]|(?:[^\\W_{_SINGLE}]{_MARK}*)+"
+
 
 def coefficients(n: int = BANDS * ROWS, seed: int = 1) -> list[tuple[int, int]]:
     """n pairs (a, b) of the hash functions (a * h + b) mod PRIME, from a seed."""
@@ -53,22 +60,27 @@ def signatures(hashed: DataFrame, pairs: list[tuple[int, int]] | None = None) ->
     return hashed.groupBy("doc_id").agg(*minima).select("doc_id", F.array(*[f"m{i}" for i in range(len(pairs))]).alias("signature"))
 
 
-def fast_signatures(docs: DataFrame, n: int = SHINGLE, pairs: list[tuple[int, int]] | None = None) -> DataFrame:
+def fast_signatures(docs: DataFrame, n: int = SHINGLE, pairs: list[tuple[int, int]] | None = None, words: str = ASCII_WORD) -> DataFrame:
     """(doc_id, signature, digest, hashes): as signatures, without a shuffle, with a digest and the set of shingle hashes.
 
     Hashes come from an Arrow batch function; the set is kept for verification.
+    words is the pattern of a word in lower-case text (in composed form, if not ASCII_WORD).
     """
     a, b = (np.array(x, np.int64) for x in zip(*(pairs or coefficients())))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
         import re
+        import unicodedata
 
-        word = re.compile("[a-z0-9]+")
+        word = re.compile(words)
         for batch in batches:
             ids, sigs, digests, sets = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                w = word.findall((text or "").lower())
+                text = text or ""
+                if words != ASCII_WORD and not text.isascii():
+                    text = unicodedata.normalize("NFC", text)
+                w = word.findall(text.lower())
                 if len(w) < n:
                     continue
                 grams = {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)}
@@ -120,17 +132,19 @@ def bucket_pairs(banded: DataFrame, similarity: float, block: int | None = None)
     return one.join(two, group).where(apart & close).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, short_copies: bool = False) -> DataFrame:
     """(doc_id, class_id, links): every document of docs (doc_id unique, text) with the smallest id of its class.
 
     Classes are the connected components of verified links: all pairs with a
     common bucket whose shingle sets have at least the given Jaccard
     similarity, and exact copies. links counts the representatives that
-    the document's representative is linked to. Documents without shingles are their own class.
+    the document's representative is linked to. Documents without shingles are their own class;
+    with short_copies, those of equal text (blank included, null not) are one
+    class, told by a digest of the text.
     """
     from corpusmill.scratch import materialize
 
-    signed = materialize(fast_signatures(docs), "signatures")
+    signed = materialize(fast_signatures(docs, words=UNICODE_WORD), "signatures")
     copies = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     members = signed.select("doc_id", "digest").join(copies, "digest").select("doc_id", "rep")
     reps = signed.join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
@@ -143,7 +157,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
     found = members.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").join(degree, "rep", "left")
     classes = found.select("doc_id", F.coalesce("label", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
-    return docs.select("doc_id").join(classes, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    shown = docs.select("doc_id").join(classes, "doc_id", "left")
+    if short_copies:
+        bare = docs.where(F.col("text").isNotNull()).select("doc_id", F.sha2("text", 256).alias("digest")).join(signed, "doc_id", "left_anti")
+        first = bare.groupBy("digest").agg(F.min("doc_id").alias("first"))
+        shown = shown.join(bare.join(first, "digest").select("doc_id", "first"), "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "first"))
+    return shown.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
 
 
 def keep_representatives(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -36,7 +36,7 @@ def curate(docs: DataFrame, options: CorpusOptions | None = None) -> DataFrame:
     staged = quality.cascade(told, F.col("language"), list(options.languages))
     staged = materialize(staged.join(docs.select("doc_id", "folder"), "doc_id"), "cascade")
     kept = staged.where(F.col("reject_stage").isNull()).select("doc_id", "folder", "text")
-    classes = minhash.near_duplicates(kept)
+    classes = minhash.near_duplicates(kept, short_copies=True)
     if options.scope == "folder":
         # a document goes only if its class has an earlier one in the same folder
         first = classes.join(kept.select("doc_id", "folder"), "doc_id").groupBy("class_id", "folder").agg(F.min("doc_id").alias("doc_id"))

@@ -405,7 +405,7 @@ def minhash_dedup(spark, d):
 @query
 def near_duplicates(spark, d):
     """(doc_id, class_id, links): verified near-duplicate classes of similarity 0.8 and more."""
-    return minhash.near_duplicates(_docs(spark, d))
+    return minhash.near_duplicates(_docs(spark, d), short_copies=True)
 
 
 @query

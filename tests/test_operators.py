@@ -148,6 +148,20 @@ def test_near_duplicates_compares_all_pairs_of_mixed_buckets(frame, monkeypatch)
         assert all(r.class_id == 0 and r.links == len(docs) - 1 for r in loose)
 
 
+def test_near_duplicates_of_any_script(frame):
+    source = random.Random(9)
+    make = lambda letters, size, blank: blank.join("".join(source.choice(letters) for _ in range(size)) for _ in range(200))
+    docs = []
+    for k, (letters, size, blank) in enumerate([("абвгдежзиклмн", 6, " "), ("ابتثجحخدذرز", 6, " "), ("가나다라마바사", 4, " "), ("天地人山水火木金土日月星", 1, ""), ("あいうえおかきくけこ", 1, "")]):
+        text = make(letters, size, blank)
+        docs += [(10 * k, text), (10 * k + 1, text + " " + make(letters, size, blank)[:6]), (10 * k + 2, make(letters, size, blank))]
+    docs += [(90, "déjà vu été où ça"), (91, "de\u0301ja\u0300 vu e\u0301te\u0301 ou\u0300 c\u0327a"), (92, "dèjà vu été où ça")]
+    docs += [(100, "too short"), (101, "too short"), (102, "短"), (103, "短"), (104, None), (105, None), (106, ""), (107, "")]
+    found = {r.doc_id: r.class_id for r in minhash.near_duplicates(frame(docs, DOC), short_copies=True).collect()}
+    joined = {i: i - 1 for i in (1, 11, 21, 31, 41, 91, 101, 103, 107)}
+    assert found == {i: joined.get(i, i) for i, _ in docs}
+
+
 def test_signatures_agree(frame):
     docs = frame([(1, "a b c d e f g"), (2, "a b c"), (3, None), (4, "A-b c d e F g!")], DOC)
     slow = {r.doc_id: r.signature for r in minhash.signatures(minhash.shingles(docs)).collect()}
