@@ -29,9 +29,15 @@ elements as (
 ), firsts as (
   select tbl, key, min((id, pos)) as first from events group by tbl, key
 )
+"""
+_P3_SEEN = """
 select e.tbl, e.id, e.pos from events e join firsts f on e.tbl = f.tbl and e.key = f.key
 where (e.id, e.pos) > f.first or e.key in (select key from known)
 """
+_P3_COUNTS = """
+select e.tbl as stream, count(*) as asked, count_if((e.id, e.pos) > f.first or e.key in (select key from known))::bigint as seen, true as in_bound
+from events e join firsts f on e.tbl = f.tbl and e.key = f.key group by e.tbl
+"""
 
 _P4_CUTS = f"""
 with valid as (
@@ -68,7 +74,8 @@ with docs as (
 SQL: dict[str, str] = {
     "p1_found": _P1.replace("@columns", "attr, item"),
     "p1_counts": _P1.replace("@columns", "attr, item, n, total"),
-    "p3_found": _P3,
+    "p3_found": _P3 + _P3_SEEN,
+    "p3_counts": _P3 + _P3_COUNTS,
     "p4_found": _P4_CUTS + "select distinct v.pred_id from valid v join cuts c on v.domain = c.domain where v.prob >= c.cutoff",
     "p4_cutoffs": _P4_CUTS
     + "select c.domain, c.n, c.target, c.cutoff, count(v.prob) as kept from cuts c left join valid v on v.domain = c.domain and v.prob >= c.cutoff group by c.domain, c.n, c.target, c.cutoff",

@@ -23,7 +23,7 @@ def p1_counts(spark: SparkSession, directory: str) -> DataFrame:
     return frequent.frequent_items(records, {"url": (F.col("url"), "0.005"), "domain": (domain, "0.01")})
 
 
-def _arrivals(spark: SparkSession, directory: str) -> DataFrame:
+def _arrivals(spark: SparkSession, directory: str) -> seen.Arrivals:
     crawl = load(spark, directory, "crawl_records").select(F.lit("crawl_records").alias("stream"), F.col("record_id").alias("id"), F.lit(0).alias("pos"), F.col("url").alias("key"))
     requests = load(spark, directory, "check_requests").select(F.lit("check_requests").alias("stream"), F.col("request_id").alias("id"), F.posexplode("elements").alias("pos", "key"))
     streams = F.explode(F.array(F.lit("crawl_records"), F.lit("check_requests"))).alias("stream")
@@ -38,21 +38,24 @@ def p3_found(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p3_errors(spark: SparkSession, directory: str) -> DataFrame:
-    """(stream, asked, seen, wrong, wrong_rate): how often the Bloom chains were wrong."""
+    """(stream, asked, seen, wrong, wrong_rate, in_bound): how often the Bloom chains were wrong."""
     return seen.error_report(seen.answers(_arrivals(spark, directory)))
 
 
-#: Shards of the kept chains.
-CHAIN_SHARDS = 16
+def p3_counts(spark: SparkSession, directory: str) -> DataFrame:
+    """(stream, asked, seen, in_bound): keys asked and seen before, and whether the rate of wrong answers keeps its bound."""
+    return p3_errors(spark, directory).select("stream", "asked", "seen", "in_bound")
 
 
 def p3_service(spark: SparkSession, directory: str) -> DataFrame:
     """(request_id, pos, maybe): requested keys asked of chains that were kept of the known keys and crawled urls."""
     known = load(spark, directory, "seen_keys").select(F.col("seen_key").alias("key"))
-    chains = materialize(seen.extend_chains(known, CHAIN_SHARDS), "chains")
-    chains = materialize(seen.extend_chains(load(spark, directory, "crawl_records").select(F.col("url").alias("key")), CHAIN_SHARDS, chains), "chains")
+    urls_ = load(spark, directory, "crawl_records").select(F.col("url").alias("key"))
+    shards = seen.shards_for(known.count() + urls_.count(), spark.sparkContext.defaultParallelism)
+    chains = materialize(seen.extend_chains(known, shards), "chains")
+    chains = materialize(seen.extend_chains(urls_, shards, chains), "chains")
     asked = load(spark, directory, "check_requests").select("request_id", F.posexplode("elements").alias("pos", "key"))
-    return seen.ask_chains(asked, CHAIN_SHARDS, chains).select("request_id", "pos", "maybe")
+    return seen.ask_chains(asked, shards, chains).select("request_id", "pos", "maybe")
 
 
 def _texts(spark: SparkSession, directory: str) -> DataFrame:
@@ -185,4 +188,4 @@ def p10_pages(spark: SparkSession, directory: str) -> DataFrame:
     return spam.measure(load_texts(spark, directory, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_errors, p3_service, p4_found, p4_cutoffs, p5_found, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_counts, p3_errors, p3_service, p4_found, p4_cutoffs, p5_found, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}
