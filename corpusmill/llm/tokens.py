@@ -30,7 +30,11 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pre-tokens of the vocabulary (a fixed value of its definition).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of text after which a block is closed; a longer text is a block of its own.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
+#: Blocks of a group, about: rows of a word that stands in every block.
+GROUP_BLOCKS = 1024
+#: Blocks that a task of the last shuffle reassembles, about.
+TASK_BLOCKS = 2
 
 _BLOCK = "block long, words array<string>, doc_ids array<long>, lengths array<int>, places binary"
 
@@ -93,7 +97,7 @@ def _encode_words(path: str):
         ids_of = _encoder(path)
         for batch in batches:
             ids = [ids_of(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["word", "groups", "ids"])
 
     return encode
 
@@ -129,11 +133,17 @@ def encode(docs: DataFrame, tokenizer_dir: str = TOKENIZER_DIR, block_chars: int
     """
     path = os.path.join(tokenizer_dir, VOCABULARY)
     blocks = materialize(docs.select("doc_id", "text").mapInArrow(_blocks(block_chars), _BLOCK), "token-blocks")
-    words = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    encoded = words.select("word").distinct().mapInArrow(_encode_words(path), "word string, ids array<int>")
+    n = blocks.count()
+    groups, parts = -(-n // GROUP_BLOCKS) or 1, max(n // TASK_BLOCKS, 1)
+    words = blocks.select("block", F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group"), F.posexplode("words").alias("at", "word"))
+    distinct = words.groupBy("word").agg(F.collect_set("group").alias("groups"))
+    encoded = distinct.mapInArrow(_encode_words(path), "word string, groups array<long>, ids array<int>")
+    ids = encoded.select(F.explode("groups").alias("group"), "word", "ids")
     # bounded: as many as a block has distinct words
-    known = words.join(encoded, "word").groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("words"))
-    return blocks.drop("words").join(known, "block", "left").select("doc_ids", "lengths", "places", "words").mapInArrow(_reassemble, "doc_id long, ids array<int>")
+    # the size of exploded rows is underestimated: no broadcast
+    known = words.join(ids.hint("merge"), ["group", "word"]).repartition(parts, "block").groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("words"))
+    packed = blocks.drop("words").repartition(parts, "block")
+    return packed.join(known, "block", "left").select("doc_ids", "lengths", "places", "words").mapInArrow(_reassemble, "doc_id long, ids array<int>")
 
 
 def token_table(spark, tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
