@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,15 +25,19 @@ def training_set(positive: DataFrame, negative: DataFrame) -> DataFrame:
     return positive.select("text", F.lit(1).alias("label")).unionByName(clean.select("text", F.lit(0).alias("label"))).where(F.col("text").isNotNull())
 
 
-def train(labelled: DataFrame, ngrams: int = NGRAMS, features: int = FEATURES, iterations: int = 20) -> PipelineModel:
+def train(labelled: DataFrame, ngrams: int = NGRAMS, features: int = FEATURES, iterations: int = 20, min_docs: int = 1) -> PipelineModel:
     """A model of (text, label 0 or 1): hashed word n-grams of 1 to ngrams words and logistic regression.
 
     Hashing needs no vocabulary, so training scales with the rows alone.
+    Features of fewer than min_docs texts are not used.
     """
     stages = [RegexTokenizer(inputCol="flat", outputCol="w1", pattern=r"[^\p{L}\p{N}']+", toLowercase=True)]
     stages += [NGram(n=n, inputCol="w1", outputCol=f"w{n}") for n in range(2, ngrams + 1)]
     stages += [HashingTF(inputCol=f"w{n}", outputCol=f"f{n}", numFeatures=features) for n in range(1, ngrams + 1)]
-    stages += [VectorAssembler(inputCols=[f"f{n}" for n in range(1, ngrams + 1)], outputCol="features")]
+    raw = "features" if min_docs <= 1 else "counts"
+    stages += [VectorAssembler(inputCols=[f"f{n}" for n in range(1, ngrams + 1)], outputCol=raw)]
+    if min_docs > 1:
+        stages += [IDF(inputCol=raw, outputCol="features", minDocFreq=min_docs)]
     stages += [LogisticRegression(maxIter=iterations, regParam=0.01, labelCol="label")]
     rows = labelled.select(flatten_newlines(F.col("text")).alias("flat"), F.col("label").cast("double").alias("label"))
     return Pipeline(stages=stages).fit(rows)

@@ -8,24 +8,35 @@ from pyspark.sql import functions as F
 from corpusmill.operators.filters import MAX_CHARS, MIN_CHARS
 
 
+def digest(*columns: Column) -> Column:
+    """A 128-bit key (struct of two longs) of the columns, so that long texts are never shuffled as keys.
+
+    Null differs from every value; a null and a value may stand in any of the columns.
+    """
+    marks = [c.isNull() for c in columns]
+    return F.struct(F.xxhash64(*columns, *marks).alias("d1"), F.xxhash64(F.lit("second"), *marks, *columns).alias("d2"))
+
+
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row with the smallest order per key.
+    """The row with the smallest order per key; of several with that order, all.
 
     A hot key needs no window over all its copies: the aggregate combines
-    them map-side, and rows join back on their order alone.
+    them map-side, and rows join back on the digest of their key and order.
     """
-    first = df.groupBy(*keys).agg(F.min(order).alias(order)).select(order)
-    return df.join(first, order, "left_semi")
+    keyed = df.withColumn("_digest", digest(*[F.col(k) for k in keys]))
+    first = keyed.groupBy("_digest").agg(F.min(order).alias(order)).where(F.col(order).isNotNull())
+    return keyed.join(first, ["_digest", order], "left_semi").select(*df.columns)
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
-    """Distinct whole rows."""
-    return df.distinct()
+    """Distinct whole rows. NaN is a missing value like null: both come out as null, and rows that differ in nothing else are one."""
+    numbers = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    return df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in numbers else F.col(c) for c in df.columns]).distinct()
 
 
 def dedup_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
     """(total, duplicated, remain): one row; null keys count as one value."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    sizes = df.groupBy(digest(*[F.col(k) for k in keys])).agg(F.count(F.lit(1)).alias("n"))
     total, remain = F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))
     return sizes.agg(total.alias("total"), (total - remain).alias("duplicated"), remain.alias("remain"))
 
@@ -62,9 +73,8 @@ def union_by_name(*tables: DataFrame) -> DataFrame:
 
 def remove_overlap(df: DataFrame, other: DataFrame, left: Column, right: Column) -> DataFrame:
     """Rows of df whose left value isn't among other's right values; null counts as a value like any other."""
-    keys = other.select(right.alias("_key")).distinct()
-    named = df.withColumn("_left", left)
-    return named.join(keys, named["_left"].eqNullSafe(keys["_key"]), "left_anti").drop("_left")
+    keys = other.select(digest(right).alias("_digest")).distinct()
+    return df.withColumn("_digest", digest(left)).join(keys, "_digest", "left_anti").drop("_digest")
 
 
 def rank_in_group(group: list[str], *order: Column) -> Column:

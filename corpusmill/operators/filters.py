@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as txt
+from corpusmill.functions import urls
 
 MIN_CHARS, MAX_CHARS, LONG_CHARS = 20, 100_000, 6_000
 
@@ -19,7 +20,10 @@ def length_filter(df: DataFrame, column: str = "text", low: int = MIN_CHARS, hig
 
 
 def long_text(df: DataFrame, column: str = "text", low: int = LONG_CHARS) -> DataFrame:
-    """Distinct texts of at least low characters within the length filter; only the text column."""
+    """Distinct texts of at least low characters within the length filter; only the text column.
+
+    The texts themselves are the result, so each distinct one is shuffled once, after map-side combining.
+    """
     return length_filter(df, column).where(F.length(column) >= low).select(column).distinct()
 
 
@@ -57,9 +61,25 @@ def domain_filter(df: DataFrame, domain: Column, allowed: DataFrame) -> DataFram
     return df.withColumn("_domain", domain).join(allowed.select(F.col("domain").alias("_domain")).distinct(), "_domain", "left_semi").drop("_domain")
 
 
-def language_filter(df: DataFrame, language: Column, languages: list[str]) -> DataFrame:
-    """Rows whose language, before '-' and case aside, is one of languages."""
-    return df.where(F.lower(F.substring_index(language, "-", 1)).isin(languages))
+def language_filter(df: DataFrame, language: Column, languages: list[str], score: Column | None = None, least: float = 0.65) -> DataFrame:
+    """Rows whose language, before '-' and case aside, is one of languages, with a score of at least least if score is given."""
+    kept = df.where(F.lower(F.substring_index(language, "-", 1)).isin(languages))
+    return kept if score is None else kept.where(~F.isnan(score) & (score >= least))
+
+
+def url_filter(df: DataFrame, url: Column, hosts: DataFrame, words: tuple[str, ...] = ()) -> DataFrame:
+    """Rows whose url's host, and no domain above it, stands in hosts (host), and whose url holds none of the words, case aside.
+
+    Null urls stay. The planner broadcasts the hosts only if they are few.
+    """
+    parts = F.split(urls.host(url), r"\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    keyed = df.withColumn("_url_row", F.monotonically_increasing_id())
+    names = keyed.select("_url_row", F.explode(above).alias("host")).join(hosts.select(F.lower("host").alias("host")).distinct(), "host", "left_semi")
+    out = keyed.join(names.select("_url_row").distinct(), "_url_row", "left_anti").drop("_url_row")
+    for word in words:
+        out = out.where(~F.coalesce(F.contains(F.lower(url), F.lit(word.lower())), F.lit(False)))
+    return out
 
 
 def rescore_candidates(df: DataFrame, score: str, low: int = 0, high: int = 5) -> DataFrame:

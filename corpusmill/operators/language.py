@@ -12,6 +12,14 @@ STOP_WORDS = {
     "fr": "les des est pas que pour dans une qui sur plus par avec ses sera".split(),
     "es": "los las una por con para del como pero más hasta según será ya está".split(),
 }
+#: Lists of further languages, for callers that pass them.
+MORE_STOP_WORDS = STOP_WORDS | {
+    "it": "il gli della che sono nel dalla anche questo essere più alla dei".split(),
+    "pt": "os uma não com dos são ao pela mais seu também foi pelo".split(),
+    "nl": "het een van zijn niet voor ook maar wordt deze naar bij nog".split(),
+    "pl": "nie jest się że jak który przez tylko oraz jego także".split(),
+    "sv": "och att det som inte har till den från eller också".split(),
+}
 
 
 def _hits(words: Column, stop: list[str]) -> Column:
@@ -33,6 +41,6 @@ def guess(text: Column, languages: dict[str, list[str]] = STOP_WORDS) -> Column:
     return F.struct(F.when(best > 0, name).alias("language"), score.alias("score"))
 
 
-def with_language(df: DataFrame, text: str = "text") -> DataFrame:
+def with_language(df: DataFrame, text: str = "text", languages: dict[str, list[str]] = STOP_WORDS) -> DataFrame:
     """df with columns language and language_score."""
-    return df.withColumn("_guess", guess(F.col(text))).select("*", F.col("_guess.language").alias("language"), F.col("_guess.score").alias("language_score")).drop("_guess")
+    return df.withColumn("_guess", guess(F.col(text), languages)).select("*", F.col("_guess.language").alias("language"), F.col("_guess.score").alias("language_score")).drop("_guess")

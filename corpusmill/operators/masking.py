@@ -12,6 +12,11 @@ def mask_addresses(text: Column) -> Column:
     return F.regexp_replace(text, r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b", "192.0.2.1")
 
 
+def token_count(text: Column) -> Column:
+    """Word-like tokens: runs of letters and digits, and every other visible character; null counts 0."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\x0B\f\r]")), F.lit(0)).cast("long")
+
+
 def html_text(html: Column) -> Column:
     """Text of an HTML string: scripts, styles and tags removed, blanks collapsed; null stays null."""
     plain = F.regexp_replace(html, r"(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>", " ")

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.components import components
@@ -60,11 +60,12 @@ def signatures(hashed: DataFrame, pairs: list[tuple[int, int]] | None = None) ->
     return hashed.groupBy("doc_id").agg(*minima).select("doc_id", F.array(*[f"m{i}" for i in range(len(pairs))]).alias("signature"))
 
 
-def fast_signatures(docs: DataFrame, n: int = SHINGLE, pairs: list[tuple[int, int]] | None = None, words: str = ASCII_WORD) -> DataFrame:
-    """(doc_id, signature, digest, hashes): as signatures, without a shuffle, with a digest and the set of shingle hashes.
+def fast_signatures(docs: DataFrame, n: int = SHINGLE, pairs: list[tuple[int, int]] | None = None, words: str = ASCII_WORD, scope: Column | None = None) -> DataFrame:
+    """(doc_id, signature, digest, hashes, scope): as signatures, without a shuffle, with a digest and the set of shingle hashes.
 
     Hashes come from an Arrow batch function; the set is kept for verification.
     words is the pattern of a word in lower-case text (in composed form, if not ASCII_WORD).
+    scope (a string, null counts as '') is what the digest is made of besides.
     """
     a, b = (np.array(x, np.int64) for x in zip(*(pairs or coefficients())))
 
@@ -75,8 +76,8 @@ def fast_signatures(docs: DataFrame, n: int = SHINGLE, pairs: list[tuple[int, in
 
         word = re.compile(words)
         for batch in batches:
-            ids, sigs, digests, sets = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids, sigs, digests, sets, scopes = [], [], [], [], []
+            for doc_id, text, own in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 text = text or ""
                 if words != ASCII_WORD and not text.isascii():
                     text = unicodedata.normalize("NFC", text)
@@ -90,19 +91,25 @@ def fast_signatures(docs: DataFrame, n: int = SHINGLE, pairs: list[tuple[int, in
                     low = np.minimum(low, ((part[:, None] * a + b) % PRIME).min(axis=0))
                 ids.append(doc_id)
                 sigs.append(low.tolist())
-                digests.append(hashlib.md5(h.tobytes()).hexdigest())
+                digests.append(hashlib.md5(own.encode() + b"\0" + h.tobytes()).hexdigest())
                 sets.append(h.tolist())
+                scopes.append(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), pa.array(digests, pa.string()), pa.array(sets, pa.list_(pa.int64()))],
-                names=["doc_id", "signature", "digest", "hashes"],
+                [pa.array(ids, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), pa.array(digests, pa.string()), pa.array(sets, pa.list_(pa.int64())), pa.array(scopes, pa.string())],
+                names=["doc_id", "signature", "digest", "hashes", "scope"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, signature array<long>, digest string, hashes array<long>")
+    part = F.lit("") if scope is None else F.coalesce(scope, F.lit(""))
+    return docs.select("doc_id", "text", part.alias("scope")).mapInArrow(sign, "doc_id long, signature array<long>, digest string, hashes array<long>, scope string")
 
 
 def bands(signed: DataFrame, n_bands: int = BANDS, rows: int = ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, *keep, band, key): the bucket of each document in each band, with the columns to keep of signed."""
-    keys = F.array(*[F.xxhash64(F.lit(k), F.array_join(F.transform(F.slice("signature", k * rows + 1, rows), lambda x: x.cast("string")), ",")) for k in range(n_bands)])
+    """(doc_id, *keep, band, key): the bucket of each document in each band, with the columns to keep of signed.
+
+    Documents of different scopes, if signed has that column, share no bucket.
+    """
+    scope = [F.col("scope")] if "scope" in signed.columns else []
+    keys = F.array(*[F.xxhash64(*scope, F.lit(k), F.array_join(F.transform(F.slice("signature", k * rows + 1, rows), lambda x: x.cast("string")), ",")) for k in range(n_bands)])
     return signed.select("doc_id", *keep, F.posexplode(keys).alias("band", "key"))
 
 
@@ -132,7 +139,7 @@ def bucket_pairs(banded: DataFrame, similarity: float, block: int | None = None)
     return one.join(two, group).where(apart & close).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, short_copies: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, short_copies: bool = False, scope: Column | None = None) -> DataFrame:
     """(doc_id, class_id, links): every document of docs (doc_id unique, text) with the smallest id of its class.
 
     Classes are the connected components of verified links: all pairs with a
@@ -140,11 +147,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, short_copie
     similarity, and exact copies. links counts the representatives that
     the document's representative is linked to. Documents without shingles are their own class;
     with short_copies, those of equal text (blank included, null not) are one
-    class, told by a digest of the text.
+    class, told by a digest of the text. With scope (a string, null counts as ''),
+    such as a folder, only documents of one scope are compared, and nothing
+    outside it has a part in its classes.
     """
     from corpusmill.scratch import materialize
 
-    signed = materialize(fast_signatures(docs, words=UNICODE_WORD), "signatures")
+    signed = materialize(fast_signatures(docs, words=UNICODE_WORD, scope=scope), "signatures")
     copies = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     members = signed.select("doc_id", "digest").join(copies, "digest").select("doc_id", "rep")
     reps = signed.join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
@@ -159,7 +168,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, short_copie
     classes = found.select("doc_id", F.coalesce("label", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
     shown = docs.select("doc_id").join(classes, "doc_id", "left")
     if short_copies:
-        bare = docs.where(F.col("text").isNotNull()).select("doc_id", F.sha2("text", 256).alias("digest")).join(signed, "doc_id", "left_anti")
+        part = F.lit("") if scope is None else F.coalesce(scope, F.lit(""))
+        bare = docs.where(F.col("text").isNotNull()).select("doc_id", F.sha2(F.concat(part, F.lit("\0"), "text"), 256).alias("digest")).join(signed, "doc_id", "left_anti")
         first = bare.groupBy("digest").agg(F.min("doc_id").alias("first"))
         shown = shown.join(bare.join(first, "digest").select("doc_id", "first"), "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "first"))
     return shown.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))

@@ -68,7 +68,9 @@ class KeyRegistry:
         part = f"{self.path}/part={shard % self.folders}"
         if not system.exists(path(part)):
             return
-        beside = f"{self.path}/_{uuid.uuid4().hex}"
+        # what is kept is complete before the part is taken away, and the part is there until the rest has its place
+        beside, before = (f"{self.path}/_{uuid.uuid4().hex}" for _ in range(2))
         self.spark.read.schema("key string, shard long").parquet(part).where(F.col("shard") != shard).write.parquet(beside)
-        system.delete(path(part), True)
+        system.rename(path(part), path(before))
         system.rename(path(beside), path(part))
+        system.delete(path(before), True)

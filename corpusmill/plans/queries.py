@@ -51,6 +51,8 @@ _of_docs("dedup_hash_sha", lambda: hashing.row_sha(F.col("url"), F.col("text")))
 _of_docs("label_lines", lambda: labels.label_line(F.lit(1), F.col("text")))
 _of_docs("fqdn", lambda: urls.fqdn(F.col("url")))
 _of_docs("mask_addresses", lambda: masking.mask_addresses(F.col("text")))
+_of_docs("token_count", lambda: masking.token_count(F.col("text")))
+_of_docs("guess_format", lambda: readers.format_of(F.col("url")))
 _of_docs("html_text", lambda: masking.html_text(F.col("text")))
 
 
@@ -58,7 +60,8 @@ _of_docs("html_text", lambda: masking.html_text(F.col("text")))
 def minimum_slice(spark, d):
     """Documents by language after length filter, cleaning and dedup."""
     rows = filters.length_filter(_docs(spark, d)).select("lang", text.clean_text(F.col("text")).alias("clean")).where("clean <> ''")
-    return rows.distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    once = rows.select("lang", dedup.digest(F.col("clean")).alias("digest")).distinct()
+    return once.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
 
 
 # --- sources and sinks ---
@@ -117,6 +120,35 @@ def scan_bad_rows(spark, d):
     return readers.read_csv(spark, path, "doc_id long, source string", tolerant=True).select("doc_id")
 
 
+@query
+def scan_bad_rows_rejected(spark, d):
+    """(kind, rows): rows and rejects of the same CSV read tolerantly with observable rejects."""
+    path = _fresh(spark, "bad-csv")
+    number = F.when(F.col("doc_id") % 10 == 0, F.lit("x")).otherwise(F.col("doc_id").cast("string"))
+    _docs(spark, d).select(number.alias("doc_id"), "source").write.csv(path, header=True)
+    good, bad = readers.read_csv_tolerant(spark, path, T.StructType.fromDDL("doc_id long, source string"), multi_line=False)
+    kinds = good.select("doc_id", F.lit("good").alias("kind")).unionByName(bad.select(F.lit(None).cast("long").alias("doc_id"), F.lit("bad").alias("kind")))
+    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def scan_json_array(spark, d):
+    """(item_id, task): benchmark items written as one JSON array and read again."""
+    path = _fresh(spark, "items-array")
+    items = load(spark, d, "benchmark").select("item_id", "task")  # a fixed small table
+    items.agg(F.to_json(F.collect_list(F.struct("item_id", "task"))).alias("value")).coalesce(1).write.text(path)
+    return readers.read_json_array(spark, path, T.StructType.fromDDL("item_id long, task string"))
+
+
+@query
+def unprocessed_files(spark, d):
+    """(path): sites as files of which those of the filtered corpus's manifest are done."""
+    files = _docs(spark, d).select(F.col("source").alias("path")).where("path is not null").distinct()
+    manifest = _fresh(spark, "manifest")
+    load(spark, d, "filtered_corpus").select(F.try_element_at("metadata", F.lit("source")).alias("path")).where("path is not null").distinct().write.parquet(manifest)
+    return readers.unprocessed(spark, files, manifest)
+
+
 @query
 def label_line_roundtrip(spark, d):
     """(ok, label, lines, chars): label lines written as text, read and parsed."""
@@ -238,6 +270,22 @@ def pos_neg_split(spark, d):
     return _predicted(spark, d).groupBy(labels.strip_label(F.col("label")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def pos_neg_outputs(spark, d):
+    """(side, rows): predictions written as a positive and a negative output and read again."""
+    path = _fresh(spark, "sides")
+    writers.write_by_label(_predicted(spark, d).select("pred_id", "label", "prob"), path, classifier.is_positive())
+    sides = [spark.read.schema("pred_id long").json(f"{path}/{side}").select(F.lit(side).alias("side")) for side in ("positive", "negative")]
+    return sides[0].unionByName(sides[1]).groupBy("side").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def url_filter(spark, d):
+    """(record_id): crawl records outside the listed domains and without a word in their url."""
+    hosts = load(spark, d, "keep_targets").where("domain <> '*'").select(F.col("domain").alias("host"))
+    return filters.url_filter(load(spark, d, "crawl_records").select("record_id", "url"), F.col("url"), hosts, ("tag", "login")).select("record_id")
+
+
 @query
 def domain_filter(spark, d):
     """(record_id): crawl records whose domain has a target."""
@@ -513,6 +561,14 @@ def confusion_matrix(spark, d):
     return stats.confusion(scored.join(truth, "doc_id", "left"), F.col("t"), F.col("p") > 0.9)
 
 
+@query
+def precision_at_one(spark, d):
+    """(samples, precision, recall) of the label that each document's best score stands for, against the transport labels."""
+    truth = load(spark, d, "subject_labels").groupBy("doc_id").agg(F.max(F.lower("subject") == "transport").alias("t"))
+    scored = load(spark, d, "predictions").where("doc_id is not null").groupBy("doc_id").agg(F.max(F.when(~F.isnan("prob"), F.col("prob"))).alias("p"))
+    return stats.precision_at_one(scored.join(truth, "doc_id"), F.col("t"), F.col("p") > 0.9)
+
+
 @query
 def inference_report(spark, d):
     """(total, positives, share) of the predictions."""
@@ -596,7 +652,7 @@ def _labelled(spark, d):
 
 def _trained(spark, d):
     split = sampling.train_val_split(_labelled(spark, d), F.col("label"), F.col("doc_id"), 0.8, SEED)
-    return classifier.train(split.where("split = 'train'"), features=1 << 14), split.where("split = 'val'")
+    return classifier.train(split.where("split = 'train'")), split.where("split = 'val'")
 
 
 @query
@@ -651,9 +707,11 @@ def convert_jsonl_csv(spark, d):
 
 @query
 def failed_files(spark, d):
-    """(rows, files): rows read file by file from good zstd files, and good files."""
+    """(item_id): items read file by file from good zstd files; -1 for each of two files that are broken."""
     path = _fresh(spark, "by-file")
-    writers.write(load(spark, d, "benchmark").select("item_id"), path, "jsonl", compression="zstd")
+    writers.write(load(spark, d, "benchmark").select("item_id"), f"{path}/good", "jsonl", compression="zstd")
+    for k, line in enumerate(('{"item_id": 1}\n{"item_id": 2', "no json")):
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{path}/bad{k}", compression="gzip" if k else None)
     rows, failed = readers.read_jsonl_by_file(spark, path, T.StructType.fromDDL("item_id long"))
     return rows.select("item_id").unionByName(failed.select(F.lit(-1).cast("long").alias("item_id")))
 
@@ -678,14 +736,46 @@ def pipeline_corpus(spark, d):
 
 @query
 def pipeline_dedup(spark, d):
-    """(folder, shard, rows): documents with unseen keys in rolling shards."""
+    """(folder, shard, rows): documents with unseen keys in rolling shards; an earlier run had taken those declared German."""
     path = _fresh(spark, "shards")
-    known = load(spark, d, "filtered_corpus").select(hashing.row_sha(F.lit("x"), F.col("text")).alias("record_key"))
-    pipelines.run_dedup(_docs(spark, d).select("doc_id", "url", "text"), path, "doc_id", known=known, shard_rows=SHARD_ROWS)
+    docs = _docs(spark, d).select("doc_id", "url", "text", "lang")
+    known = docs.where(F.lower("lang").startswith("de")).select(hashing.row_sha(F.col("url"), F.col("text")).alias("record_key"))
+    pipelines.run_dedup(docs.drop("lang"), path, "doc_id", known=known, shard_rows=SHARD_ROWS)
     written = spark.read.schema("doc_id long, folder string, shard string").json(path)
     return written.groupBy("folder", "shard").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def pipeline_shards(spark, d):
+    """(doc_id, shard): the same records in shard files, with the file that each is read from."""
+    path = _fresh(spark, "shard-files")
+    docs = _docs(spark, d).select("doc_id", "url", "text", "lang")
+    known = docs.where(F.lower("lang").startswith("de")).select(hashing.row_sha(F.col("url"), F.col("text")).alias("record_key"))
+    pipelines.run_dedup(docs.drop("lang"), path, "doc_id", known=known, shard_rows=SHARD_ROWS, as_files=True)
+    written = readers.read_jsonl(spark, path, T.StructType.fromDDL("doc_id long"), glob="*.jsonl.zst")
+    return written.select("doc_id", F.regexp_extract("_metadata.file_path", "shard_[0-9]+/shard_[0-9]+[.]jsonl[.]zst$", 0).alias("shard"))
+
+
+@query
+def csv_dedup(spark, d):
+    """(total, duplicated, remain) of a CSV file's rows by text, as they are written once per text."""
+    source, target = _fresh(spark, "with-copies"), _fresh(spark, "without")
+    writers.write(_table_of_docs(spark, d).where("text <> ''"), source, "csv")
+    found = pipelines.dedup_csv(spark, source, "doc_id long, url string, text string, lang string", target, ["text"], low=20, high=100_000)
+    written = readers.read_csv(spark, target, "doc_id long, url string, text string, lang string").agg(F.count(F.lit(1)).alias("written"))
+    return found.join(F.broadcast(written))  # one row each
+
+
+@query
+def csv_merge(spark, d):
+    """(task, rows): benchmark items in CSV files at several depths, merged to one table and read again."""
+    source, target = _fresh(spark, "csv-tree"), _fresh(spark, "csv-merged")
+    for k, folder in enumerate(("", "/a", "/a/b")):
+        writers.write(load(spark, d, "benchmark").where(F.length("task") % 3 == k).select("item_id", "task"), source + folder, "csv", mode="append")
+    pipelines.merge_csv(spark, source, "item_id long, task string", target)
+    return readers.read_csv(spark, target, "item_id long, task string").groupBy("task").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def pipeline_classifier(spark, d):
     """(doc_id): documents that a classifier of transport texts keeps."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,10 +21,34 @@ def guess_format(path: str) -> str:
     return next((fmt for word, fmt in _FORMATS if word in low), "csv")
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str, tolerant: bool = False) -> DataFrame:
-    """CSV with header; quoted texts may span lines. tolerant drops malformed rows instead of failing."""
+def format_of(path: Column) -> Column:
+    """guess_format of a column of paths; null gives csv."""
+    found = F.lit("csv")
+    for word, fmt in reversed(_FORMATS):
+        found = F.when(F.contains(F.lower(path), F.lit(word)), F.lit(fmt)).otherwise(found)
+    return found
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str, tolerant: bool = False, multi_line: bool = True, recursive: bool = False) -> DataFrame:
+    """CSV with header; recursive reads the files at any depth. tolerant drops malformed rows instead of failing.
+
+    Quoted texts may span lines, so each file is one task; with multi_line off
+    they may not, and large files are split.
+    """
     mode = "DROPMALFORMED" if tolerant else "FAILFAST"
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"', mode=mode, maxCharsPerColumn=-1)
+    reader = spark.read.schema(schema).option("recursiveFileLookup", recursive)
+    return reader.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', mode=mode, maxCharsPerColumn=-1)
+
+
+def read_csv_tolerant(spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good rows, malformed rows as column value) of CSV with header."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "maxCharsPerColumn": -1}
+    rows = spark.read.schema(full).csv(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options)
+    # Spark refuses to read the corrupt column alone, so the filter reads another one, too, which decides nothing
+    other = F.substring(F.coalesce(F.col(schema.names[0]).cast("string"), F.lit("")), 1, 0) == ""
+    bad = F.col(CORRUPT).isNotNull() & other
+    return rows.where(~bad).drop(CORRUPT), rows.where(bad).select(F.col(CORRUPT).alias("value"))
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str | None = None) -> DataFrame:
@@ -97,16 +121,35 @@ def unprocessed(spark: SparkSession, files: DataFrame, manifest: str) -> DataFra
     return files.join(done, "path", "left_anti")
 
 
+#: Lines or records of a file that are handed on at a time.
+FILE_BATCH = 5000
+
+
 def read_jsonl_by_file(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(rows with column path, failed files as path and error) of .jsonl, .gz, .zst and .zstd files.
 
     A file that cannot be unpacked or parsed is reported instead of failing
-    the scan, and none of its rows are returned. Each file is read as a whole.
+    the scan, and none of its rows are returned. A file's packed bytes are one
+    cell (2 GB at most); its lines are unpacked and handed on in batches.
     """
 
-    def parse(batches):
+    def lines_of(name: str, content: bytes):
         import gzip
         import io
+
+        raw = io.BytesIO(content)
+        if name.endswith((".zst", ".zstd")):
+            import zstandard
+
+            raw = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
+        elif name.endswith(".gz"):
+            raw = gzip.GzipFile(fileobj=raw)
+        for line in io.TextIOWrapper(io.BufferedReader(raw), "utf-8", newline="\n"):
+            if line.strip():
+                yield line.rstrip("\n")
+
+    def parse(batches):
+        import itertools
         import json
 
         import pandas as pd
@@ -114,18 +157,14 @@ def read_jsonl_by_file(spark: SparkSession, path: str, schema: T.StructType) ->
         for pdf in batches:
             for name, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    if name.endswith((".zst", ".zstd")):
-                        import zstandard
-
-                        content = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content), read_across_frames=True).read()
-                    elif name.endswith(".gz"):
-                        content = gzip.decompress(content)
-                    lines = [x for x in content.decode("utf-8").split("\n") if x.strip()]
-                    for line in lines:
+                    for line in lines_of(name, content):  # a first pass, since a file counts as a whole
                         json.loads(line)
-                    yield pd.DataFrame({"path": name, "value": lines, "error": None}, columns=["path", "value", "error"])
                 except Exception as error:
                     yield pd.DataFrame({"path": [name], "value": [None], "error": [f"{type(error).__name__}: {error}"]})
+                    continue
+                lines = lines_of(name, content)
+                while some := list(itertools.islice(lines, FILE_BATCH)):
+                    yield pd.DataFrame({"path": name, "value": some, "error": None}, columns=["path", "value", "error"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
     parsed = files.mapInPandas(parse, "path string, value string, error string")

@@ -26,18 +26,33 @@ def records(stream: BinaryIO) -> Iterator[tuple]:
             yield head.get("warc-record-id"), head.get("warc-type"), head.get("warc-target-uri"), head.get("warc-date"), body
 
 
+#: Bytes of records that are handed on at a time.
+BATCH_BYTES = 32 << 20
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of .warc and .warc.gz files; a file is the unit of work, as the format isn't splittable."""
+    """Records of .warc and .warc.gz files; a file is the unit of work, as the format isn't splittable.
+
+    A file's packed bytes are one cell (2 GB at most, twice the usual size of
+    crawl archives); its records are unpacked and handed on as they come.
+    """
 
     def parse(batches):
         import io
 
         import pandas as pd
 
+        names = ["warc_record_id", "type", "url", "date", "content"]
         for pdf in batches:
             for name, content in zip(pdf["path"], pdf["content"]):
                 raw = io.BytesIO(content)
-                rows = list(records(gzip.open(raw) if name.endswith(".gz") else raw))
-                yield pd.DataFrame(rows, columns=["warc_record_id", "type", "url", "date", "content"])
+                rows, size = [], 0
+                for record in records(gzip.open(raw) if name.endswith(".gz") else raw):
+                    rows.append(record)
+                    size += len(record[-1])
+                    if size >= BATCH_BYTES:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+                yield pd.DataFrame(rows, columns=names)
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, SCHEMA)

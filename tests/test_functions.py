@@ -56,3 +56,10 @@ def test_labels(frame):
 @pytest.mark.parametrize("path, expected", [("**/*.JSONL.zst", "jsonl"), ("a/parquet/x.jsonl", "jsonl"), ("x.warc.gz", "warc"), ("x.tsv", "csv"), ("x.json", "csv")])
 def test_guess_format(path, expected):
     assert guess_format(path) == expected
+
+
+def test_entry_hides_only_a_missing_subpackage():
+    from pathlib import Path
+
+    source = (Path(__file__).resolve().parent.parent / "__spark_entry__.py").read_text()
+    assert "find_spec" in source and "ImportError" not in source

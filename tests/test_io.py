@@ -84,3 +84,56 @@ def test_even_parts(frame, n, parts, sizes):
     df = frame([(i,) for i in range(1, n + 1)], "position long")
     got = df.groupBy(writers.even_part(F.col("position"), n, parts).alias("p")).count().sort("p").collect()
     assert [r["count"] for r in got] == sizes
+
+
+def test_zst_writer_keeps_to_the_mode(spark, frame, rows, tmp_path):
+    path, schema = f"file://{tmp_path}/z", T.StructType.fromDDL(SCHEMA)
+    df = frame(ROWS, SCHEMA)
+    for mode, times in (("errorifexists", 1), ("append", 2), ("ignore", 2), ("overwrite", 1)):
+        writers.write(df, path, "jsonl", mode=mode, compression="zstd")
+        assert rows(readers.read_jsonl(spark, path, schema)) == sorted(ROWS * times, key=str)
+    with pytest.raises(FileExistsError):
+        writers.write(df, path, "jsonl", compression="zstd")
+    with pytest.raises(ValueError):
+        writers.write(df, path, "jsonl", mode="sometimes", compression="zstd")
+
+
+def test_rolling_shards_are_files(spark, frame, tmp_path):
+    writers.write_shards(frame([(i, f"t{i}") for i in range(25)], SCHEMA, 4), f"file://{tmp_path}/s", 2, "i")
+    files = sorted(str(p.relative_to(tmp_path / "s")) for p in (tmp_path / "s").rglob("*.zst"))
+    assert len(files) == 13 and files[0] == "shard_01/shard_00001.jsonl.zst" and "shard_03/shard_00002.jsonl.zst" in files
+    one = readers.read_jsonl(spark, f"file://{tmp_path}/s/shard_01/shard_00002.jsonl.zst", T.StructType.fromDDL(SCHEMA))
+    assert [r.i for r in one.collect()] == [20, 21]
+    writers.write_shards(frame([], SCHEMA), f"file://{tmp_path}/none", 2, "i")
+
+
+def test_numbered_files_are_single(frame, tmp_path):
+    writers.write_numbered(frame([(i,) for i in range(25)], "i long", 4), f"file://{tmp_path}/n", 10, "i")
+    assert [len(list((tmp_path / f"n/file_no={k}").glob("*.json"))) for k in (1, 2, 3)] == [1, 1, 1]
+
+
+def test_malformed_csv_rows_stay_observable(spark, rows, tmp_path):
+    (tmp_path / "x.csv").write_text("i,t\n1,a\nx,b\n3,c\n")
+    good, bad = readers.read_csv_tolerant(spark, f"file://{tmp_path}/x.csv", T.StructType.fromDDL(SCHEMA))
+    assert rows(good) == [(1, "a"), (3, "c")] and rows(bad) == [("x,b",)] and good.count() == 2 and bad.count() == 1
+
+
+def test_broken_files_are_reported(spark, rows, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"i": 1}\n\n{"i": 2}\n')
+    (tmp_path / "b.jsonl.gz").write_bytes(gzip.compress(b'{"i": 3}\n')[:-6])
+    (tmp_path / "c.jsonl.zst").write_bytes(b"none")
+    good, failed = readers.read_jsonl_by_file(spark, f"file://{tmp_path}", T.StructType.fromDDL("i long"))
+    assert rows(good, "i") == [(1,), (2,)] and sorted(r.path.rsplit("/", 1)[-1] for r in failed.collect()) == ["b.jsonl.gz", "c.jsonl.zst"]
+
+
+def test_csv_entry_points(spark, frame, rows, tmp_path):
+    from corpusmill.plans import pipelines
+
+    (tmp_path / "in/a/b").mkdir(parents=True)
+    (tmp_path / "in/x.csv").write_text("i,t\n1,same text\n2,same text\n")
+    (tmp_path / "in/a/b/y.csv").write_text("i,t\n3,other\n4,\n")
+    root = f"file://{tmp_path}"
+    assert rows(pipelines.merge_csv(spark, f"{root}/in", SCHEMA, f"{root}/merged")) == [(2, 4)]
+    assert readers.read_csv(spark, f"{root}/merged", SCHEMA).count() == 4
+    assert rows(pipelines.dedup_csv(spark, f"{root}/in", SCHEMA, f"{root}/once", ["t"])) == [(4, 1, 3)]
+    assert 1 in {r.i for r in readers.read_csv(spark, f"{root}/once", SCHEMA).collect()}

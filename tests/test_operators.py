@@ -247,3 +247,77 @@ def test_judge_validates_and_resumes(frame, rows):
 def test_masking(frame):
     df = frame([("mail a.b@c.org or 10.1.2.3", "<p>a&amp;b</p><script>x</script>")], "t string, h string")
     assert tuple(df.select(masking.mask_addresses(F.col("t")), masking.html_text(F.col("h"))).first()) == ("mail email@example.com or 192.0.2.1", "a&b")
+
+
+def test_near_duplicates_recall_near_the_threshold(frame):
+    source = random.Random(17)
+    texts, pairs = [], []
+    for k in range(150):
+        base = [f"w{source.randrange(5000)}" for _ in range(200)]
+        near = list(base)
+        for at in (20, 70, 120, 170):
+            near[at] = f"new{k}"
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join(base), " ".join(near)]
+    sets = [_shingles(t) for t in texts]
+    assert all(0.8 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) <= 0.85 for a, b in pairs)
+    found = {r.doc_id: r.class_id for r in minhash.near_duplicates(frame(list(enumerate(texts)), DOC, 3)).collect()}
+    assert sum(found[a] == found[b] for a, b in pairs) >= 0.9 * len(pairs)
+
+
+def test_near_duplicates_within_a_folder(frame):
+    source = random.Random(18)
+    words = [f"w{source.randrange(5000)}" for _ in range(300)]
+    change = lambda at: " ".join(w if i not in at else f"x{i}" for i, w in enumerate(words))
+    a, b, c = change(range(20, 100, 20)), change([]), change(range(150, 230, 20))
+    j = lambda x, y: len(_shingles(x) & _shingles(y)) / len(_shingles(x) | _shingles(y))
+    assert j(a, b) >= 0.8 and j(b, c) >= 0.8 and j(a, c) < 0.8
+    docs = frame([(1, "f", a), (2, "g", b), (3, "f", c), (4, "f", c), (5, None, "short"), (6, None, "short"), (7, "f", "short")], "doc_id long, folder string, text string")
+    classes = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, short_copies=True, scope=F.col("folder")).collect()}
+    assert classes == {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 5, 7: 7}
+
+
+def test_nan_is_a_missing_value(frame, rows):
+    df = frame([(1, 0.5), (1, 0.5), (2, float("nan")), (2, None), (2, float("nan"))], "i long, p double")
+    assert rows(dedup.dedup_rows(df)) == [(1, 0.5), (2, None)]
+
+
+def test_keep_first_of_keys_with_a_shared_order(frame, rows):
+    df = frame([(1, "a", None), (2, "a", None), (1, "b", None), (1, None, "a"), (2, None, "a"), (3, None, None)], "n long, s string, t string")
+    assert rows(dedup.keep_first(df, ["s", "t"], "n")) == sorted([(1, "a", None), (1, "b", None), (1, None, "a"), (3, None, None)], key=str)
+
+
+def test_a_failed_call_costs_only_its_texts(frame, rows):
+    def reply(texts):
+        if any("bad" in t for t in texts):
+            raise OSError
+        return ["3" if "good" in t else "unsure" for t in texts]
+
+    df = frame([(1, "good"), (2, "bad"), (3, "good too"), (4, "else")], DOC, 1)
+    assert rows(judge.judge(df, "doc_id", reply)) == [(1, 3), (2, -1), (3, 3), (4, -1)]
+    asked = []
+    assert judge.replies_of(["a", "b"], lambda texts: asked.append(texts) or ["x"] * len(texts), retries=1) == ["x", "x"] and asked == [["a", "b"], ["a"], ["b"]]
+
+
+def test_judged_parts_are_saved(spark, frame, rows, tmp_path):
+    df, path = frame([(i, "bus") for i in range(20)] + [(30, None)], DOC), f"file://{tmp_path}/scores"
+    first = rows(judge.judge_saved(df, "doc_id", path, parts=3))
+    assert first == sorted([(i, 1) for i in range(20)] + [(30, 0)], key=str)
+
+    def broken(texts):
+        raise AssertionError("asked again")
+
+    assert rows(judge.judge_saved(df, "doc_id", path, broken, parts=3)) == first
+
+
+def test_language_and_url_filters(frame, rows):
+    df = frame([(1, "en-GB", 0.9), (2, "EN", 0.2), (3, "de", 0.9), (4, None, 0.9), (5, "en", None), (6, "en", float("nan"))], "i int, l string, s double")
+    assert rows(filters.language_filter(df, F.col("l"), ["en"], F.col("s")), "i") == [(1,)]
+    pages = frame([(1, "http://a.bad.org/x"), (2, "http://bad.org:80/"), (3, "http://notbad.org/"), (4, "http://c.d/Casino"), (5, None)], "i int, url string")
+    assert rows(filters.url_filter(pages, F.col("url"), frame([("BAD.org",), (None,)], "host string"), ("casino",)), "i") == [(3,), (5,)]
+
+
+def test_precision_at_one(frame):
+    df = frame([(True, True), (True, None), (False, True), (None, True)], "t boolean, g boolean")
+    assert tuple(stats.precision_at_one(df, F.col("t"), F.col("g")).first()) == (3, 0.5, 0.333333)
+    assert tuple(stats.precision_at_one(df.where("false"), F.col("t"), F.col("g")).first()) == (0, 0.0, 0.0)
