@@ -6,6 +6,10 @@ distinct documents, and publication dates. Only 64-bit hashes of lines are
 shuffled, never texts. Counting runs per (line, cluster) first, so a line that
 stands in a third of all documents is spread over tasks; the join back to the
 places of the lines is salted for the same reason.
+
+Which lines count as boilerplate is a matter of the least documents, clusters
+and dates. An article that a site publishes many times is many documents, but
+one cluster: with a minimum of clusters its lines stay.
 """
 
 from __future__ import annotations
@@ -47,8 +51,8 @@ def keyed_lines(docs: DataFrame) -> DataFrame:
     return materialize(each.select("doc_id", F.col("line_no").cast("long").alias("line_no"), *keys, "cluster", "day"), "lines")
 
 
-def repeated_lines(keyed: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(k1, k2, docs, clusters, days): the keyed lines that at least min_docs documents of their site hold.
+def repeated_lines(keyed: DataFrame, min_docs: int = MIN_DOCS, min_clusters: int = 1, min_days: int = 0) -> DataFrame:
+    """(k1, k2, docs, clusters, days): the keyed lines that at least so many documents, clusters and dates of their site hold.
 
     A document counts once for a line however often it holds it; a null day
     counts as no date.
@@ -57,7 +61,7 @@ def repeated_lines(keyed: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return (
         once.groupBy("k1", "k2")
         .agg(F.sum("docs").alias("docs"), F.count_distinct("cluster").alias("clusters"), F.count_distinct("day").alias("days"))
-        .where(F.col("docs") >= min_docs)
+        .where((F.col("docs") >= min_docs) & (F.col("clusters") >= min_clusters) & (F.col("days") >= min_days))
     )
 
 
@@ -68,15 +72,38 @@ def places(keyed: DataFrame, lines: DataFrame) -> DataFrame:
     return at.join(salted, ["k1", "k2", "salt"], "left_semi").select("doc_id", "line_no")
 
 
-def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, line_no): every line that at least min_docs documents of its site hold."""
+def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, min_clusters: int = 1, min_days: int = 0) -> DataFrame:
+    """(doc_id, line_no): every line that at least so many documents, clusters and dates of its site hold."""
+    keyed = keyed_lines(docs)
+    return places(keyed, repeated_lines(keyed, min_docs, min_clusters, min_days).select("k1", "k2"))
+
+
+def line_report(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(site, line, docs, clusters, days): the repeated lines in their compared form, with their counts.
+
+    Each line's words are read from the one document that holds it first.
+    """
     keyed = keyed_lines(docs)
-    return places(keyed, repeated_lines(keyed, min_docs).select("k1", "k2"))  # unused counts are pruned from the plan
+    lines = repeated_lines(keyed, min_docs)
+    # at most one row per line and map task reaches the shuffle
+    first = keyed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line_no")).alias("at")).join(lines, ["k1", "k2"]).select("at.*", "docs", "clusters", "days")
+    shown = _lines(docs).select("doc_id", "site", "lines").join(first, "doc_id")
+    return shown.select("site", F.get("lines", F.col("line_no").cast("int")).alias("line"), "docs", "clusters", "days")
+
+
+def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs with drop, the sorted numbers of their lines found: (doc_id, line_no); null without any."""
+    numbers = found.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.col("line_no").cast("int"))).alias("drop"))
+    return docs.join(numbers, "doc_id", "left")
 
 
 def without_lines(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """docs with text cleaned of the lines found: (doc_id, line_no); rows and other columns stay."""
-    marked = found.groupBy("doc_id").agg(F.collect_set(F.col("line_no").cast("int")).alias("_drop"))
-    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("_drop", i))
-    text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return docs.join(marked, "doc_id", "left").withColumn("text", text).drop("_drop")
+    """docs with text cleaned of the lines found: (doc_id, line_no); rows and other columns stay.
+
+    A column named drop is not kept. Linear in a document's lines: they are
+    split before the join, so that no step splits them again for each line.
+    """
+    split = docs.drop("drop").withColumn("text", F.split("text", "\n", -1))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("text") - 1), F.coalesce("drop", F.array().cast("array<int>")))
+    text = F.when(F.col("text").isNotNull(), F.array_join(F.transform(kept, lambda i: F.get("text", i)), "\n"))
+    return marked(split, found).withColumn("text", text).drop("drop")

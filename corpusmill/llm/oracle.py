@@ -59,18 +59,25 @@ with valid as (
 _BLANK = r"[\x09\x0B-\x0D \x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _LINES = f"""
 with docs as (
-  select doc_id, text, case when url is null then source else regexp_replace({_HOST.format("url")}, '^(?:www\\.|m\\.)', '') end as site from documents
+  select doc_id, text, fetched_at::date as day, case when url is null then source else regexp_replace({_HOST.format("url")}, '^(?:www\\.|m\\.)', '') end as site from documents
 ), raw as (
-  select doc_id, site, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as line_no
+  select doc_id, site, day, text, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as line_no
   from docs where text is not null and site is not null
 ), lines as (
-  select doc_id, site, line_no, regexp_replace(trim(regexp_replace(lower(line), '{_BLANK}+', ' ', 'g')), '[0-9]+', '0', 'g') as line from raw
+  select doc_id, site, line_no, day, text, regexp_replace(trim(regexp_replace(lower(line), '{_BLANK}+', ' ', 'g')), '[0-9]+', '0', 'g') as line from raw
 ), found as (
   select doc_id, line_no from lines
   where line <> '' and (site, line) in (select (site, line) from lines where line <> '' group by site, line having count(distinct doc_id) >= 5)
 )
 """
 
+_COUNTED = """
+, counted as (
+  select site, line, count(distinct doc_id) as docs, count(distinct text) as clusters, count(distinct day) as days
+  from lines where line <> '' group by site, line having count(distinct doc_id) >= 5
+)
+"""
+
 SQL: dict[str, str] = {
     "p1_found": _P1.replace("@columns", "attr, item"),
     "p1_counts": _P1.replace("@columns", "attr, item, n, total"),
@@ -80,6 +87,8 @@ SQL: dict[str, str] = {
     "p4_cutoffs": _P4_CUTS
     + "select c.domain, c.n, c.target, c.cutoff, count(v.prob) as kept from cuts c left join valid v on v.domain = c.domain and v.prob >= c.cutoff group by c.domain, c.n, c.target, c.cutoff",
     "p5_found": _LINES + "select * from found",
+    "p5_lines": _LINES + _COUNTED + "select * from counted",
+    "p5_boilerplate": _LINES + _COUNTED + "select doc_id, line_no from lines join counted using (site, line) where clusters >= 5 and days >= 2",
     "p5_clean": _LINES
     + """
 , kept as (

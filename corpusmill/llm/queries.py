@@ -117,6 +117,19 @@ def p5_found(spark: SparkSession, directory: str) -> DataFrame:
     return boilerplate.boilerplate(site_documents(spark, directory))
 
 
+def p5_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """(site, line, docs, clusters, days): the lines of p5_found with their documents, distinct documents and dates."""
+    return boilerplate.line_report(site_documents(spark, directory))
+
+
+def p5_boilerplate(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, line_no): the places of p5_found's lines that stand in five distinct documents, of two dates at least.
+
+    Unlike p5_found this leaves the lines of an article that is published again and again.
+    """
+    return boilerplate.boilerplate(site_documents(spark, directory), min_clusters=boilerplate.MIN_DOCS, min_days=2)
+
+
 def p5_clean(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id, text): every document's text without the lines of p5_found."""
     docs = site_documents(spark, directory)
@@ -188,4 +201,4 @@ def p10_pages(spark: SparkSession, directory: str) -> DataFrame:
     return spam.measure(load_texts(spark, directory, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_counts, p3_errors, p3_service, p4_found, p4_cutoffs, p5_found, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_counts, p3_errors, p3_service, p4_found, p4_cutoffs, p5_found, p5_lines, p5_boilerplate, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}

@@ -6,6 +6,10 @@ repeated maximal runs of at least RUN words cover a share of each unit's
 characters. That coverage is combined with missing clause structure: a unit
 without clauses is stuffing if it is made of links or product tags, or of
 selling words and repeats, or of repeats nearly throughout.
+
+A page of very many words has an automaton for each stretch of STRETCH words;
+runs that stand again only in other stretches are found by the numbers of all
+runs of the page, so the coverage is that of one automaton over the page.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from corpusmill.llm import units
 RUN = 2
 #: Coverage from which selling words, or any words without a clause, are stuffing.
 SELLING_COVERED, COVERED = 0.25, 0.85
-#: Words that one automaton takes in; a longer page has one for each such stretch.
+#: Words that one automaton takes in, which bounds its memory.
 STRETCH = 250_000
 MIN_CHARS, SPAM_SHARE = 30, 0.5
 
@@ -88,16 +92,41 @@ def repeats(words: list[str]) -> np.ndarray:
     return np.where(several[state], lengths[state], lengths[np.maximum(links[state], 0)])
 
 
-def covered(words: list[str], run: int = RUN) -> np.ndarray:
-    """True for the words inside repeated runs of at least run words."""
-    longest = np.concatenate([repeats(words[i : i + STRETCH]) for i in range(0, len(words), STRETCH)] or [np.zeros(0, np.int64)])
-    end = np.flatnonzero(longest >= run)
-    steps = np.zeros(len(words) + 1, np.int64)
-    np.add.at(steps, end - longest[end] + 1, 1)
-    np.add.at(steps, end + 1, -1)
+def _run_numbers(words: list[str], run: int) -> np.ndarray:
+    """For each place, the number of the run of run words that begins there; equal runs have equal numbers."""
+    known: dict[str, int] = {}
+    word = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+    number, base = word, len(known) + 1
+    for k in range(1, run):
+        number = np.unique(number[:-1] * base + word[k:], return_inverse=True)[1]
+    return number
+
+
+def _mark(size: int, first: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """True at the places from first to before behind of any span."""
+    steps = np.zeros(size + 1, np.int64)
+    np.add.at(steps, first, 1)
+    np.add.at(steps, behind, -1)
     return np.cumsum(steps[:-1]) > 0
 
 
+def covered(words: list[str], run: int = RUN, stretch: int = STRETCH) -> np.ndarray:
+    """True for the words inside repeated runs of at least run words.
+
+    A word is in such a run if one of exactly run words around it is repeated,
+    so for pages of several stretches the runs of run words that begin in one
+    and stand again in another complete what the automata find.
+    """
+    longest = np.concatenate([repeats(words[i : i + stretch]) for i in range(0, len(words), stretch)] or [np.zeros(0, np.int64)])
+    end = np.flatnonzero(longest >= run)
+    found = _mark(len(words), end - longest[end] + 1, end + 1)
+    if len(words) > max(stretch, run - 1):
+        number = _run_numbers(words, run)
+        again = np.flatnonzero(np.bincount(number)[number] > 1)
+        found |= _mark(len(words), again, again + run)
+    return found
+
+
 def page(text: str) -> tuple[int, float, float, float]:
     """(chars, covered, clauseless, spam_share) of a text: its characters, and shares of those in units."""
     parts = units.units_of(text)
