@@ -58,11 +58,12 @@ def repeated_lines(keyed: DataFrame, min_docs: int = MIN_DOCS, min_clusters: int
     counts as no date.
     """
     once = keyed.groupBy("k1", "k2", "cluster", "day").agg(F.count_distinct("doc_id").alias("docs"))
-    return (
-        once.groupBy("k1", "k2")
-        .agg(F.sum("docs").alias("docs"), F.count_distinct("cluster").alias("clusters"), F.count_distinct("day").alias("days"))
-        .where((F.col("docs") >= min_docs) & (F.col("clusters") >= min_clusters) & (F.col("days") >= min_days))
-    )
+    found = once.groupBy("k1", "k2").agg(F.sum("docs").alias("docs"), F.count_distinct("cluster").alias("clusters"), F.count_distinct("day").alias("days"))
+    # only what is asked of the last two counts is computed
+    for column, least, always in (("docs", min_docs, 1), ("clusters", min_clusters, 1), ("days", min_days, 0)):
+        if least > always:
+            found = found.where(F.col(column) >= least)
+    return found
 
 
 def places(keyed: DataFrame, lines: DataFrame) -> DataFrame:
