@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import urls
-from corpusmill.llm import boilerplate, cutoff, frequent, langid, leak, seen, spam, subjects, textstats, tokens
+from corpusmill.llm import boilerplate, cutoff, frequent, langid, leak, lexicon, seen, spam, subjects, textstats, tokens
 from corpusmill.scratch import materialize
 from corpusmill.sources.tables import load, load_texts
 
@@ -142,12 +142,11 @@ def p6_found(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p6_scores(spark: SparkSession, directory: str) -> DataFrame:
-    """(doc_id, subject, about, judged, units, chars): units by subject, lines of p5_found left aside."""
+    """(doc_id, subject, about, judged, units, chars, confidence): units by subject, lines of p5_found left aside."""
     docs = site_documents(spark, directory)
     names = [r.subject for r in load(spark, directory, "subjects").select("subject").sort("subject").collect()]  # the subject areas
     model = subjects.fit(docs, load(spark, directory, "subject_labels"), names)
-    cleaned = boilerplate.without_lines(docs.withColumn("chars", F.length("text")), boilerplate.boilerplate(docs))
-    return subjects.scores(cleaned, model)
+    return subjects.scores(boilerplate.marked(docs.select("doc_id", "text"), boilerplate.boilerplate(docs)), model)
 
 
 def p6_mix(spark: SparkSession, directory: str) -> DataFrame:
@@ -163,7 +162,8 @@ def p7_found(spark: SparkSession, directory: str) -> DataFrame:
 
 def p7_stats(spark: SparkSession, directory: str) -> DataFrame:
     """Statistics of every document with text; see textstats.statistics."""
-    return textstats.statistics(textstats.sums(load_texts(spark, directory, "documents")))
+    docs = load_texts(spark, directory, "documents")
+    return textstats.statistics(textstats.sums(docs, lexicon=lexicon.fit(docs)))
 
 
 def p8_ids(spark: SparkSession, directory: str) -> DataFrame:
@@ -198,7 +198,8 @@ def p10_found(spark: SparkSession, directory: str) -> DataFrame:
 
 def p10_pages(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id, chars, covered, clauseless, spam_share) of every document with text."""
-    return spam.measure(load_texts(spark, directory, "documents"))
+    docs = load_texts(spark, directory, "documents")
+    return spam.measure(docs, lexicon.fit(docs))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_counts, p3_errors, p3_service, p4_found, p4_cutoffs, p5_found, p5_lines, p5_boilerplate, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}

@@ -127,14 +127,14 @@ def covered(words: list[str], run: int = RUN, stretch: int = STRETCH) -> np.ndar
     return found
 
 
-def page(text: str) -> tuple[int, float, float, float]:
+def page(text: str, lexicon=None) -> tuple[int, float, float, float]:
     """(chars, covered, clauseless, spam_share) of a text: its characters, and shares of those in units."""
     parts = units.units_of(text)
     if not parts:
         return len(text), 0.0, 0.0, 0.0
     words, counts, kinds = [], [], []
     for u in parts:
-        kind, found, _ = units.judge(u)
+        kind, found, _ = units.judge(u, lexicon)
         words += found
         counts.append(len(found))
         kinds.append(kind)
@@ -154,21 +154,25 @@ def page(text: str) -> tuple[int, float, float, float]:
     return len(text), float((chars * share).sum() / total), float(chars[bare].sum() / total), float(chars[spam].sum() / total)
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0).to_pylist()
-        rows = [page(t) for t in batch.column(1).to_pylist()]
-        columns = zip(*rows) if rows else [[]] * 4
-        types = (pa.int64(), pa.float64(), pa.float64(), pa.float64())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], names=["doc_id", "chars", "covered", "clauseless", "spam_share"])
+def _measure(lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            rows = [page(t, lexicon) for t in batch.column(1).to_pylist()]
+            columns = zip(*rows) if rows else [[]] * 4
+            types = (pa.int64(), pa.float64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], names=["doc_id", "chars", "covered", "clauseless", "spam_share"])
 
+    return run
 
-def measure(docs: DataFrame) -> DataFrame:
+
+def measure(docs: DataFrame, lexicon=None) -> DataFrame:
     """(doc_id, chars, covered, clauseless, spam_share) of every document of docs (doc_id, text) with text.
 
-    Null texts have no row, blank ones shares of zero; nothing is shuffled.
+    lexicon: of lexicon.fit. Null texts have no row, blank ones shares of zero;
+    nothing is shuffled.
     """
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).mapInArrow(_measure, _PAGE)
+    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).mapInArrow(_measure(lexicon), _PAGE)
 
 
 def stuffed(measured: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
 """Units of a text (sentences, list items, cells, keywords) and what they are.
 
-A unit is a sentence when it has clause structure: enough function words for
-its length, and an end or a length that list items don't have. Everything here
-works on one unit at a time, so counts over units add up in any order.
+A unit is a sentence when it has clause structure: enough words that sentences
+are made of for its length, and an end or a length that list items don't have.
+Those words, and the words of selling phrases, come from a lexicon learned from
+the corpus (``lexicon``). The lists below are only what is used without one, for
+a few texts at hand. Everything here works on one unit at a time, so counts
+over units add up in any order.
 """
 
 from __future__ import annotations
@@ -74,11 +77,65 @@ KINDS = ("sentence", "heading", "item", "links", "tags", "selling", "junk")
 SMALL_SHARE, SENTENCE_WORDS, LONG_WORDS = 0.17, 5, 9
 
 
-def judge(unit: str) -> tuple[int, list[str], int]:
+#: Words of a unit, with the characters of scripts without blanks one by one.
+_SINGLE = "㐀-䶿一-鿿぀-ヿ฀-໿က-႟ក-៿"
+TOKEN = re.compile(rf"[{_SINGLE}]|[^\W\d_{_SINGLE}]+")
+_HAS_SINGLE = re.compile(f"[{_SINGLE}]")
+#: Share of a lexicon's clause words from which a unit is a sentence, and from which one with selling words is.
+CLAUSE_SHARE, CLAUSE_SHARE_SELLING = 0.2, 0.4
+
+
+def tokens_of(unit: str) -> list[str]:
+    """The lower-case words of a unit, those of tags apart."""
+    if "#" in unit:
+        unit = CAMEL.sub(" ", unit)
+    return TOKEN.findall(unit.lower())
+
+
+def ends_with_stop(unit: str) -> bool:
+    """Whether a unit ends with the stop of a sentence."""
+    return _STOP.search(unit) is not None and not unit.rstrip().endswith(":")
+
+
+def judge(unit: str, lexicon=None) -> tuple[int, list[str], int]:
     """(kind, words, common) of a unit: its kind, lower-case words (Han characters one by one) and how many are common.
 
-    Depends on nothing but the unit.
+    Depends on nothing but the unit and the lexicon; without one, on the lists of this module.
     """
+    return _judge_listed(unit) if lexicon is None else _judge_learned(unit, lexicon)
+
+
+def _judge_learned(unit: str, lexicon) -> tuple[int, list[str], int]:
+    words = tokens_of(unit)
+    n = len(words)
+    letters = sum(map(len, words))
+    single = not unit.isascii() and _HAS_SINGLE.search(unit) is not None
+    clause = sum(map(lexicon.clause.__contains__, words))
+    selling = sum(map(lexicon.selling.__contains__, words))
+    visible = len(unit) - unit.count(" ")
+    links = _MAY_LINK.search(unit) and LINK.search(unit)
+    prose = n >= SENTENCE_WORDS and clause >= (CLAUSE_SHARE_SELLING if selling else CLAUSE_SHARE) * n and letters >= 0.55 * visible
+    if prose and ("SKU" in unit or "#" in unit) and TAG.search(unit):
+        prose = False
+    # an item may be a phrase with an article or two; a sentence has more, or no mark of an item
+    marked = _ITEM.match(unit) is not None
+    if prose and not links and (not marked or n >= LONG_WORDS and clause >= 2 * CLAUSE_SHARE * n):
+        return SENTENCE, words, clause
+    if links:
+        # a link inside a sentence doesn't make it a link list
+        return SENTENCE if prose and n >= LONG_WORDS and len(LINK.findall(unit)) == 1 else LINKS, words, clause
+    if ("#" in unit or "SKU" in unit) and TAG.search(unit) and len(_LETTER.findall(unit)) >= 0.4 * visible:
+        return TAGS, words, clause
+    if selling:
+        return SELLING, words, clause
+    if letters < 0.5 * visible or not single and unreadable(words, letters):
+        return JUNK, words, clause
+    if single:
+        return ITEM if "/" in unit or "、" in unit else HEADING, words, clause
+    return ITEM if marked or n > 14 else HEADING, words, clause
+
+
+def _judge_listed(unit: str) -> tuple[int, list[str], int]:
     low = unit.lower()
     words = WORD.findall(low)
     n = len(words)

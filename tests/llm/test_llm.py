@@ -457,3 +457,47 @@ def test_only_doubtful_keys_are_checked(frame):
     assert status[seen.MAYBE] + status.get(seen.REPEAT, 0) in range(100, 110)
     # 1 % of the other new keys may pass for doubtful ones
     assert status[seen.EVIDENCE] in range(status[seen.MAYBE] - 9, status[seen.MAYBE] + 100) and status[seen.NEW] > 4700
+
+
+# --- lexicon ---
+
+
+def _made_up_language(seed, letters):
+    source = random.Random(seed)
+    word = lambda: "".join(source.choice(letters) for _ in range(source.randint(3, 7)))
+    joints, verbs, things, sales = ([word() for _ in range(n)] for n in (25, 60, 40, 6))
+    name = lambda: word().title()
+
+    def sentence():
+        body = []
+        for _ in range(source.randint(3, 5)):
+            body += [source.choice(joints), source.choice(things), source.choice(verbs), source.choice(joints), name()]
+        return " ".join(body).capitalize() + "."
+
+    prose = lambda: " ".join(sentence() for _ in range(source.randint(6, 12)))
+    table = lambda: "\n".join(f"- {source.choice(things)}, {name()}" + "." * source.randint(0, 1) for _ in range(30))
+    keywords = lambda: "\n".join(" ".join(f"{source.choice(sales)} {source.choice(things[:3])}," for _ in range(4)) for _ in range(12))
+    return prose, table, keywords
+
+
+@pytest.mark.parametrize("lang, letters", [("fi", "aeiouyäöklmnprstvhj"), ("ru", "аеиоуыябвгдклмнпрст")])
+def test_sentences_and_keyword_pages_of_languages_without_a_list(frame, lang, letters):
+    from corpusmill.llm import lexicon
+
+    prose, table, keywords = _made_up_language(5, letters)
+    known = [(i, prose(), lang) for i in range(80)] + [(100 + i, prose() + "\n" + table(), lang) for i in range(20)] + [(200 + i, table(), lang) for i in range(10)] + [(300 + i, keywords(), lang) for i in range(12)]
+    learned = lexicon.fit(frame(known + [(999, None, lang), (998, "no label here", None)], "doc_id long, text string, lang string"))
+    new = [(i, prose().replace(".", "" if i % 2 else ".")) for i in range(20)] + [(100 + i, table()) for i in range(20)] + [(200 + i, keywords()) for i in range(20)]
+    docs = frame(new, DOC)
+    assert {r.doc_id for r in textstats.statistics(textstats.sums(docs, lexicon=learned)).where("not_prose").collect()} == {i for i, _ in new if i >= 100}
+    assert {r.doc_id for r in spam.stuffed(spam.measure(docs, learned)).collect()} == {i for i, _ in new if i >= 200}
+    # chunks count as the whole with a lexicon, too
+    cut = {r.doc_id: [r[c] for c in textstats.SUMS] for r in textstats.sums(docs, chunk_chars=100, lexicon=learned).collect()}
+    assert cut == {i: textstats.count(t, learned) for i, t in new}
+
+
+def test_lexicon_of_nothing(frame):
+    from corpusmill.llm import lexicon
+
+    for rows_ in ([], [(1, None, "en"), (2, "a text", None), (None, "Another text was here.", "en"), (3, "", "xx")]):
+        assert lexicon.fit(frame(rows_, "doc_id long, text string, lang string")) == lexicon.Lexicon(frozenset(), frozenset())
