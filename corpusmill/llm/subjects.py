@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -255,43 +255,73 @@ def assigned(scored: DataFrame, share: float = SHARE) -> DataFrame:
     return scored.where((F.col("chars") >= MIN_CHARS) & (F.col("about") >= share * F.col("judged") - 1e-9))
 
 
-def _telling_words(sample: DataFrame, labels: DataFrame) -> DataFrame:
-    """(word, worth, lang): the words that speak for one subject, with their main language.
+def _telling_words(words: dict[tuple[int, str], set[str]], labels: dict[int, list[str]]) -> dict[str, tuple[float, str]]:
+    """Word -> (worth, main language) of the words that speak for one subject.
 
-    Words are counted by document, and in their main language only, since the
-    subjects are mixed differently in every language.
+    words: of each document and language. They are counted by document, and in
+    their main language only, since the subjects are mixed differently in every language.
     """
-    labelled = sample.join(labels, "doc_id")
-    docs = labelled.select("doc_id", "lang", "labels").distinct().select("lang", F.explode("labels").alias("subject")).groupBy("lang", "subject").agg(F.count(F.lit(1)).alias("docs"))
-    words = labelled.select("doc_id", "lang", "labels", F.explode("items").alias("word")).distinct().select("lang", "word", F.explode("labels").alias("subject"))
-    rates = words.groupBy("word", "lang", "subject").agg(F.count(F.lit(1)).alias("k")).join(F.broadcast(docs), ["lang", "subject"])  # a row per language and subject
-    by_lang = rates.groupBy("word", "lang").agg(F.sum("k").alias("n"), F.sort_array(F.collect_list(F.col("k") / (F.col("docs") + SMOOTH)), asc=False).alias("rates"))
-    main = by_lang.groupBy("word").agg(F.max(F.struct("n", "lang", "rates")).alias("m")).select("word", "m.*")
-    first, second = F.get("rates", F.lit(0)), F.coalesce(F.get("rates", F.lit(1)), F.lit(0.0))
-    total = F.aggregate("rates", F.lit(0.0), lambda a, x: a + x)
-    return main.where((F.col("n") >= WORD_DOCS) & (first >= TIMES * second)).select("word", (first / (total + SMOOTH / 100)).alias("worth"), "lang")
+    docs: Counter = Counter((lang, s) for doc, lang in words for s in labels[doc])
+    found: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+    for (doc, lang), items in words.items():
+        for w in items:
+            found[w][lang].update(labels[doc])
+    out = {}
+    for w, by_lang in found.items():
+        n, lang = max((sum(c.values()), x) for x, c in by_lang.items())
+        if n >= WORD_DOCS:
+            rates = sorted((k / (docs[lang, s] + SMOOTH) for s, k in by_lang[lang].items()), reverse=True)
+            if len(rates) == 1 or rates[0] >= TIMES * rates[1]:
+                out[w] = rates[0] / (sum(rates) + SMOOTH / 100), lang
+    return out
+
+
+def _to_transactions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, labels, items) of all units (doc_id, lang, items, labels) of the bounded sample.
+
+    items: the most telling words of a unit, each behind its language, and its
+    document's subjects behind '='.
+    """
+    units_: list[tuple] = []
+    labels: dict[int, list[str]] = {}
+    words: dict[tuple[int, str], set[str]] = defaultdict(set)
+    for batch in batches:
+        for doc, lang, items, given in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            labels[doc] = given
+            words[doc, lang].update(items)
+            units_.append((doc, lang, items))
+    telling = _telling_words(words, labels)
+    rows = set()  # what a document repeats counts once
+    for doc, lang, items in units_:
+        best = sorted(telling.keys() & set(items), key=lambda w: (-telling[w][0], w))[:UNIT_WORDS]
+        if best:
+            rows.add((doc, lang, tuple(best)))
+    found = [(lang, labels[doc], [*(f"{telling[w][1]} {w}" for w in best), *(f"={s}" for s in labels[doc])]) for doc, lang, best in sorted(rows, key=str)]
+    for at in range(0, max(len(found), 1), 2000):
+        columns = list(zip(*found[at : at + 2000])) or [[]] * 3
+        types = (pa.string(), pa.list_(pa.string()), pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "labels", "items"])
 
 
 def _mine(sample: DataFrame, labels: DataFrame, subjects: list[str]) -> RuleModel:
     """Rules from the units of sample (doc_id, unit, lang, items) whose documents have labels (doc_id, labels)."""
     from pyspark.ml.fpm import FPGrowth  # not needed where units are scored
 
-    telling = materialize(_telling_words(sample, labels), "telling-words")
-    each = sample.select("doc_id", "unit", "lang", F.explode("items").alias("word")).join(telling.drop("lang"), "word")
-    best = each.groupBy("doc_id", "unit", "lang").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("worth")).alias("w"), "word"))), 1, UNIT_WORDS).alias("best"))
-    # what a document repeats counts once
-    chosen = best.select("doc_id", "lang", F.col("best.word").alias("words")).distinct().join(labels, "doc_id")
-    rows = materialize(chosen.select("lang", "labels", F.concat("words", F.transform("labels", lambda s: F.concat(F.lit("="), s))).alias("items")), "transactions")
+    # one task: at most LABELLED_DOCS and OTHER_DOCS texts of SAMPLE_CHARS characters
+    labelled = sample.join(F.broadcast(labels), "doc_id").select("doc_id", "lang", "items", "labels").coalesce(1)
+    rows = materialize(labelled.mapInArrow(_to_transactions, "lang string, labels array<string>, items array<string>"), "transactions")
+    counted = rows.select("lang", F.explode("labels").alias("subject")).groupBy("lang", "subject").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {(r.subject, r.lang): r.n for r in counted.collect()}  # subjects x languages
     n = rows.count()
     if not n:
         return RuleModel(subjects, {})
-    sizes = {(r.subject, r.lang): r.n for r in rows.select("lang", F.explode("labels").alias("subject")).groupBy("lang", "subject").agg(F.count(F.lit(1)).alias("n")).collect()}  # subjects x languages
-    found = FPGrowth(itemsCol="items", minSupport=min(1.0, RULE_UNITS / n), minConfidence=0.02).fit(rows.select("items")).associationRules
+    cores = min(rows.sparkSession.sparkContext.defaultParallelism, 16)
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, RULE_UNITS / n), minConfidence=0.02).fit(rows.select("items").repartition(cores)).associationRules
     rules = found.where(F.col("consequent")[0].startswith("=") & ~F.exists("antecedent", lambda x: x.startswith("=")))
     hits = F.round(F.col("support") * n)
     rules = rules.select(F.array_sort("antecedent").alias("words"), F.substring(F.col("consequent")[0], 2, 1000).alias("subject"), hits.alias("hits"), (hits / F.col("confidence")).alias("of"))
-    grouped = rules.groupBy("words").agg(F.collect_list(F.struct("subject", "hits")).alias("hits"), F.max("of").alias("of")).withColumn("word", F.col("words")[0])
-    balanced = grouped.join(telling.select("word", "lang"), "word").select("words", "hits", "of", "lang").mapInArrow(_balance(subjects, sizes), "words array<string>, subject string, sure double")
+    grouped = rules.groupBy("words").agg(F.collect_list(F.struct("subject", "hits")).alias("hits"), F.max("of").alias("of"))
+    balanced = grouped.mapInArrow(_balance(subjects, sizes), "words array<string>, subject string, sure double")
     # bounded by the sample: those of its rules that hold
     return _concise([(r.words, r.subject, r.sure) for r in balanced.collect()], subjects)
 
@@ -315,7 +345,7 @@ def _sure(hits: dict[str, float], of: float, lang: str, present: list[str], size
 
 
 def _balance(subjects: list[str], sizes: dict[tuple[str, str], int]):
-    """An Arrow function of antecedents with their hits by subject: the rules that are sure enough once balanced.
+    """An Arrow function of antecedents (words behind their languages) with their hits by subject: the rules that are sure enough once balanced.
 
     sizes: units labelled with each subject in each language.
     """
@@ -324,8 +354,9 @@ def _balance(subjects: list[str], sizes: dict[tuple[str, str], int]):
     def balance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for words, hits, of, lang in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                out += [(words, s, p) for s, p in _sure({h["subject"]: h["hits"] for h in hits}, of, lang, present, sizes)]
+            for named, hits, of in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                langs, words = zip(*(w.split(" ", 1) for w in named))
+                out += [(words, s, p) for s, p in _sure({h["subject"]: h["hits"] for h in hits}, of, langs[0], present, sizes)]
             columns = zip(*out) if out else [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.list_(pa.string()), pa.string(), pa.float64()))], names=["words", "subject", "sure"])
 
