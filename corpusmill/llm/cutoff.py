@@ -5,7 +5,9 @@ cumulative position is computed, and the score at the target count is the
 cutoff. A source with a third of all rows is not sorted in one task: equal
 scores are combined before the shuffle, scores fall into ordered buckets, the
 position before each bucket comes from the (at most BUCKETS) bucket counts of
-the source, and only buckets are sorted.
+the source. The bucket with the cutoff is cut into buckets again, LEVELS times
+in all, so that scores crowded near one value part as well, and only what lies
+in one of its last buckets is sorted.
 """
 
 from __future__ import annotations
@@ -13,8 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ordered score buckets of a source; also the largest group of the bucket counts.
-BUCKETS = 4096
+from corpusmill.scratch import materialize
+
+#: Ordered score buckets of a source, also the largest group of the bucket counts, and how often a bucket is cut again:
+#: the last ones are 1e-14 wide.
+BUCKETS, LEVELS = 4096, 4
 #: Highest valid score.
 TOP = 1.0001
 #: Copies of a source's cutoff, so that one source's records spread over tasks.
@@ -46,33 +51,61 @@ def cutoffs(valid: DataFrame, targets: DataFrame, default: str = "*") -> DataFra
     A keep_pct above 100 keeps all, a negative one nothing; a null one counts as
     not listed.
     """
-    bucket = F.least(F.floor(F.col("score") / TOP * BUCKETS), F.lit(BUCKETS - 1))
-    scores = valid.groupBy("source", "score").agg(F.count(F.lit(1)).alias("c"), F.max("rec").alias("last_rec")).withColumn("bucket", bucket)
-    buckets = scores.groupBy("source", "bucket").agg(F.sum("c").alias("in_bucket"))
-    downwards = Window.partitionBy("source").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
-    placed = buckets.withColumn("upto", F.sum("in_bucket").over(downwards))
+    counted = valid.groupBy("source", "score").agg(F.count(F.lit(1)).alias("c"))
+    place = F.col("score") / TOP
+    for level in range(LEVELS):  # b0, b1, ...: the bucket, the bucket in the bucket, and so on
+        bucket = F.least(F.floor(place * BUCKETS), F.lit(BUCKETS - 1))
+        counted, place = counted.withColumn(f"b{level}", bucket), place * BUCKETS - bucket
+    scores = materialize(counted.withColumn("salt", _salt("score")), "scores")
+    buckets = scores.groupBy("source", "b0").agg(F.sum("c").alias("in_bucket"))
     # each source looks for its own target first, then for the default one
     sizes = buckets.groupBy("source").agg(F.sum("in_bucket").alias("n"))
     wanted = sizes.select("source", "n", F.posexplode(F.array_distinct(F.array("source", F.lit(default)))).alias("rank", "key"))
     named = targets.select(F.col("source").alias("key"), "keep_pct")
     aimed = wanted.join(named, "key", "left").groupBy("source", "n").agg(F.min_by("keep_pct", F.when(F.col("keep_pct").isNotNull(), F.col("rank"))).alias("pct"))
     pct = F.greatest(F.least(F.coalesce("pct", F.lit(0)), F.lit(100)), F.lit(0))
-    aimed = aimed.select("source", "n", F.floor((pct * F.col("n") + 99) / 100).alias("target"))
-    placed = placed.join(aimed, "source").select("source", "bucket", "in_bucket", "upto", "n", "target")
-    critical = placed.where((F.col("target") > 0) & (F.col("upto") >= F.col("target")) & (F.col("upto") - F.col("in_bucket") < F.col("target")))
-    inside = Window.partitionBy("source", "bucket").orderBy(F.desc("score"), "last_rec").rowsBetween(Window.unboundedPreceding, 0)
+    aimed = materialize(aimed.select("source", "n", F.floor((pct * F.col("n") + 99) / 100).alias("target")), "targets")
+    critical = _critical(buckets.join(aimed.where("target > 0").withColumn("before", F.lit(0).cast("long")), "source"), "b0")
+    for level in range(1, LEVELS):
+        inner = _inside(scores, critical, level).groupBy("source", "n", "target", "before", *_path(level + 1)).agg(F.sum("c").alias("in_bucket"))
+        critical = _critical(inner, f"b{level}")
+    last = Window.partitionBy("source").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     position = (
-        scores.join(critical, ["source", "bucket"])
-        .withColumn("position", F.col("upto") - F.col("in_bucket") + F.sum("c").over(inside))
+        _inside(scores, critical, LEVELS)
+        .withColumn("position", F.col("before") + F.sum("c").over(last))
         .where((F.col("position") >= F.col("target")) & (F.col("position") - F.col("c") < F.col("target")))
         .select("source", "n", "target", F.col("score").alias("cutoff"), F.col("position").alias("kept"))
     )
-    none = placed.where(F.col("target") == 0).select("source", "n", "target", F.lit(None).cast("double").alias("cutoff"), F.lit(0).cast("long").alias("kept")).distinct()
+    none = aimed.where(F.col("target") == 0).select("source", "n", "target", F.lit(None).cast("double").alias("cutoff"), F.lit(0).cast("long").alias("kept"))
     return position.unionByName(none)
 
 
+def _path(levels: int) -> list[str]:
+    return [f"b{k}" for k in range(levels)]
+
+
+def _salt(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int").alias("salt")
+
+
+def _salted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _critical(buckets: DataFrame, bucket: str) -> DataFrame:
+    """The bucket of each source in which its target lies, with the records before it in place of before and in_bucket."""
+    downwards = Window.partitionBy("source").orderBy(F.desc(bucket)).rowsBetween(Window.unboundedPreceding, 0)  # at most BUCKETS rows
+    upto = buckets.withColumn("upto", F.col("before") + F.sum("in_bucket").over(downwards))
+    here = upto.where((F.col("upto") >= F.col("target")) & (F.col("upto") - F.col("in_bucket") < F.col("target")))
+    return here.withColumn("before", F.col("upto") - F.col("in_bucket")).drop("upto", "in_bucket")
+
+
+def _inside(scores: DataFrame, critical: DataFrame, levels: int) -> DataFrame:
+    """The scores in the critical bucket of their source, a source's rows spread by salt."""
+    return scores.join(_salted(critical), ["source", "salt", *_path(levels)]).drop("salt")
+
+
 def kept_records(valid: DataFrame, cuts: DataFrame) -> DataFrame:
     """(rec, source, score) of the records at or above their source's cutoff."""
-    salted = cuts.where(F.col("cutoff").isNotNull()).select("source", "cutoff", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    rows = valid.withColumn("salt", F.pmod(F.xxhash64("rec"), F.lit(SALTS)).cast("int"))
-    return rows.join(salted, ["source", "salt"]).where(F.col("score") >= F.col("cutoff")).select("rec", "source", "score")
+    salted = _salted(cuts.where(F.col("cutoff").isNotNull()).select("source", "cutoff"))
+    return valid.withColumn("salt", _salt("rec")).join(salted, ["source", "salt"]).where(F.col("score") >= F.col("cutoff")).select("rec", "source", "score")
