@@ -28,6 +28,8 @@ MIN_WORDS = 12
 SEGMENT_CHARS = 4_000_000
 #: Test words searched for at a time; a larger test set is searched in blocks.
 BLOCK_WORDS = 1_000_000
+#: Pairs of an anchor's places in a segment and in the items that are compared at a time.
+PAIRS = 4_000_000
 #: Proximity: this many of an item's RARE rarest terms within SPAN words.
 RARE, NEAR, SPAN = 10, 8, 60
 
@@ -149,17 +151,20 @@ def _matches(items: _Items, anchors: dict[str, np.ndarray], min_words: int):
         for t, offsets in anchors.items():
             if t not in places:
                 continue
-            p, a = np.repeat(places[t], len(offsets)) + pad, np.tile(offsets, len(places[t]))
-            run = np.ones(len(p), np.int64)
-            for step in (-1, 1):
-                alive = np.arange(len(p))
-                for k in range(1, min_words):
-                    alive = alive[text[p[alive] + step * k] == items.stream[a[alive] + step * k]]
-                    if not alive.size:
-                        break
-                    run[alive] += 1
-            hit = run >= min_words
-            found.append(np.stack([doc_ids[np.searchsorted(starts, p[hit] - pad, "right") - 1], items.item[a[hit]]]))
+            # a common anchor stands in many places of the segment and of the items: so many pairs of them at a time
+            step_ = max(1, PAIRS // len(places[t]))
+            for part in (offsets[i : i + step_] for i in range(0, len(offsets), step_)):
+                p, a = np.repeat(places[t], len(part)) + pad, np.tile(part, len(places[t]))
+                run = np.ones(len(p), np.int64)
+                for step in (-1, 1):
+                    alive = np.arange(len(p))
+                    for k in range(1, min_words):
+                        alive = alive[text[p[alive] + step * k] == items.stream[a[alive] + step * k]]
+                        if not alive.size:
+                            break
+                        run[alive] += 1
+                hit = run >= min_words
+                found.append(np.unique(np.stack([doc_ids[np.searchsorted(starts, p[hit] - pad, "right") - 1], items.item[a[hit]]]), axis=1))
         pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
         return pd.DataFrame({"doc_id": pairs[0], "item_id": pairs[1]})
 

@@ -78,6 +78,27 @@ _COUNTED = """
 )
 """
 
+_P9 = r"""
+with texts as (
+  select 'd' as kind, doc_id as id, list_transform(regexp_extract_all(text, '[\pL\pN]+'), lambda w: lower(w)) as w from documents where text is not null
+  union all
+  select 'i', item_id, list_transform(regexp_extract_all(text, '[\pL\pN]+'), lambda w: lower(w)) from benchmark where text is not null
+), grams as (
+  select distinct kind, id, array_to_string(list_slice(w, i, i + 11), ' ') as gram from (select kind, id, w, unnest(range(1, len(w) - 10)) as i from texts where len(w) >= 12)
+), found as (
+  select distinct d.id as doc_id, i.id as item_id from grams d join grams i on d.gram = i.gram where d.kind = 'd' and i.kind = 'i'
+)
+"""
+# white space, then what may stand behind the stop of a line
+_SPACE = r"\t-\r\x1C-\x20\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_CLOSING = r" \t\r\x0B\x0C\x{00A0}\"''”»)\]"
+_P7_SUMS = f"""
+with cut as (select doc_id, text, string_split(text, chr(10)) as ls from documents where text is not null)
+select doc_id, length(text) as chars, len(regexp_extract_all(text, '[^\\pL\\pN{_SPACE}]')) as symbols,
+  len(list_filter(ls, lambda x: regexp_matches(x, '[^{_CLOSING}]'))) as lines, len(list_filter(ls, lambda x: regexp_matches(x, '[.!?。！？…][{_CLOSING}]*$'))) as ended_lines
+from cut
+"""
+
 SQL: dict[str, str] = {
     "p1_found": _P1.replace("@columns", "attr, item"),
     "p1_counts": _P1.replace("@columns", "attr, item, n, total"),
@@ -97,5 +118,8 @@ SQL: dict[str, str] = {
 )
 select d.doc_id, case when d.text is null or d.site is null then d.text else coalesce(k.text, '') end as text from docs d left join kept k using (doc_id)
 """,
+    "p7_sums": _P7_SUMS,
+    "p9_found": _P9 + "select * from found",
+    "p9_items": _P9 + "select item_id, count(*) as docs from found group by item_id",
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }

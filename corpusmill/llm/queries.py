@@ -97,7 +97,7 @@ def _targets(spark: SparkSession, directory: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, directory: str) -> DataFrame:
     """(pred_id): the records that their domain's cutoff keeps."""
-    valid = _scores(spark, directory)
+    valid = materialize(_scores(spark, directory), "valid")  # read by the cutoffs and for what they keep
     return cutoff.kept_records(valid, cutoff.cutoffs(valid, _targets(spark, directory))).select(F.col("rec").alias("pred_id")).distinct()
 
 
@@ -166,6 +166,11 @@ def p7_stats(spark: SparkSession, directory: str) -> DataFrame:
     return textstats.statistics(textstats.sums(docs, lexicon=lexicon.fit(docs)))
 
 
+def p7_sums(spark: SparkSession, directory: str) -> DataFrame:
+    """(doc_id, chars, symbols, lines, ended_lines): the sums of p7_stats that need no lexicon."""
+    return textstats.sums(load_texts(spark, directory, "documents")).select("doc_id", "chars", "symbols", "lines", "ended_lines")
+
+
 def p8_ids(spark: SparkSession, directory: str) -> DataFrame:
     """(doc_id, ids): every document's text in the vocabulary byte_bpe_50k."""
     return tokens.encode(load_texts(spark, directory, "documents"))
@@ -202,4 +207,4 @@ def p10_pages(spark: SparkSession, directory: str) -> DataFrame:
     return spam.measure(docs, lexicon.fit(docs))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_counts, p3_errors, p3_service, p4_found, p4_cutoffs, p5_found, p5_lines, p5_boilerplate, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_labels, p3_found, p3_counts, p3_errors, p3_service, p4_found, p4_cutoffs, p5_found, p5_lines, p5_boilerplate, p5_clean, p6_found, p6_scores, p6_mix, p7_found, p7_stats, p7_sums, p8_ids, p8_decoded, p9_found, p9_near, p9_items, p10_found, p10_pages)}

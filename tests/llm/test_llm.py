@@ -501,3 +501,24 @@ def test_lexicon_of_nothing(frame):
 
     for rows_ in ([], [(1, None, "en"), (2, "a text", None), (None, "Another text was here.", "en"), (3, "", "xx")]):
         assert lexicon.fit(frame(rows_, "doc_id long, text string, lang string")) == lexicon.Lexicon(frozenset(), frozenset())
+
+
+def test_rare_languages_are_learned_and_wrong_labels_are_not():
+    source = random.Random(31)
+    counts, docs = {}, {}
+    for lang, words, n in (("en", WORDS["en"], 4000), ("de", WORDS["de"], 3000), ("fr", WORDS["fr"], 60)):
+        counts[lang] = {w: n // 10 + source.randrange(9) for w in words}
+        docs[lang] = {w: 4 for w in words}
+    # a label that stands on English and German texts only, with names of their own
+    counts["xx"] = {w: 5 + source.randrange(9) for w in WORDS["en"] + WORDS["de"]} | {f"name{i}": 9 for i in range(40)}
+    docs["xx"] = {w: 3 for w in WORDS["en"] + WORDS["de"]} | {f"name{i}": 1 for i in range(40)}
+    assert langid.LanguageModel.fit(counts, docs).languages == ["de", "en", "fr"]
+
+
+def test_unreadable_texts_have_no_language(frame, language_model):
+    source = random.Random(41)
+    line = " ".join(source.choice(WORDS["en"]) for _ in range(8))
+    glued = " ".join(f"{source.choice(WORDS['en'])}¼the½" for _ in range(60))
+    cases = [("a", "\n".join([glued] * 5)), ("b", line + "\n" + "\n".join(["%7>]/^<6>-^~[]/=%1~|>253.^$.~8:{40x-1~"] * 30)), ("c", line + "\n" + line + "\nBrand™ name\n" + "50€"), ("d", line + "\n" + glued[:40])]
+    got = {(r.id, r.seg_no): r.lang for r in langid.segments(frame(cases, "id string, text string"), language_model).collect()}
+    assert got == {("c", -1): "en", ("d", -1): "en"}
