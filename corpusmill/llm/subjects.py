@@ -65,6 +65,7 @@ _ALNUM = re.compile(r"[^\W_]")
 _HAN_RUN = re.compile(r"[㐀-䶿一-鿿]{2,}")
 #: What parts the keywords, tags and links of a page that are run together in one unit.
 _RUN = re.compile(r"\s[-–/·]\s|[,»]\s|>>|\s{2,}|\s(?=#)|\s(?=\[)|\s(?=https?://)")
+_RUN_MARKS = ("-", "–", "/", "·", ",", "»", ">>", "  ", "#", "[", "\xa0", "\r")
 _CUT = "doc_id long, unit long, lang string, items array<string>"
 _SCORES = "doc_id long, subject string, about long, judged long, units long, chars long, confidence double"
 
@@ -85,7 +86,8 @@ def parts_of(text: str) -> list[str]:
     """The units of a text, with keywords, tags and links that are run together in one unit apart."""
     out = []
     for unit in units.units_of(text):
-        if len(unit) >= RUN_CHARS:
+        # counting what separators are made of is much cheaper than looking for them
+        if len(unit) >= RUN_CHARS and sum(map(unit.count, _RUN_MARKS)) >= RUN_PARTS - 1:
             pieces = _RUN.split(unit)
             if RUN_PARTS <= len(pieces) and len(unit) <= RUN_MEAN * len(pieces):
                 out += [p for p in pieces if _ALNUM.search(p)]
