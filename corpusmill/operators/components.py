@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.scratch import materialize
+from corpusmill.scratch import discard, materialize
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
@@ -30,7 +30,8 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         # small star: smaller neighbours and the node itself move to the smallest
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        now = materialize(small, "edges")
+        last, now = now, materialize(small, "edges")
+        discard(last)  # two rounds' tables at most are there at a time
         state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == before:
             members = now.select(F.col("b").alias("id"), F.col("a").alias("label"))

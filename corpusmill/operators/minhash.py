@@ -108,9 +108,13 @@ def bands(signed: DataFrame, n_bands: int = BANDS, rows: int = ROWS, keep: tuple
 
     Documents of different scopes, if signed has that column, share no bucket.
     """
-    scope = [F.col("scope")] if "scope" in signed.columns else []
-    keys = F.array(*[F.xxhash64(*scope, F.lit(k), F.array_join(F.transform(F.slice("signature", k * rows + 1, rows), lambda x: x.cast("string")), ",")) for k in range(n_bands)])
-    return signed.select("doc_id", *keep, F.posexplode(keys).alias("band", "key"))
+    return signed.select("doc_id", *keep, F.posexplode(band_keys("scope" in signed.columns, n_bands, rows)).alias("band", "key"))
+
+
+def band_keys(scoped: bool, n_bands: int = BANDS, rows: int = ROWS) -> Column:
+    """The buckets of column signature, and of column scope if scoped, by band."""
+    scope = [F.col("scope")] if scoped else []
+    return F.array(*[F.xxhash64(*scope, F.lit(k), F.array_join(F.transform(F.slice("signature", k * rows + 1, rows), lambda x: x.cast("string")), ",")) for k in range(n_bands)])
 
 
 def bucket_links(banded: DataFrame) -> DataFrame:
@@ -153,11 +157,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, short_copie
     """
     from corpusmill.scratch import materialize
 
-    signed = materialize(fast_signatures(docs, words=UNICODE_WORD, scope=scope), "signatures")
+    # hashes have 31 bits, and of the signature only the buckets are needed
+    made = fast_signatures(docs, words=UNICODE_WORD, scope=scope)
+    signed = materialize(made.select("doc_id", "digest", F.col("hashes").cast("array<int>").alias("hashes"), band_keys(True).alias("keys")), "signatures")
     copies = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     members = signed.select("doc_id", "digest").join(copies, "digest").select("doc_id", "rep")
     reps = signed.join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    pairs = bucket_pairs(bands(reps.withColumn("size", F.size("hashes")), keep=("size",)), similarity)
+    pairs = bucket_pairs(reps.select("doc_id", F.size("hashes").alias("size"), F.posexplode("keys").alias("band", "key")), similarity)
     left, right = (reps.select(F.col("doc_id").alias(c), F.col("hashes").alias(f"h{c}")) for c in ("a", "b"))
     common = F.size(F.array_intersect("ha", "hb"))
     jaccard = common / (F.size("ha") + F.size("hb") - common)

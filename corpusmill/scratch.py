@@ -45,18 +45,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _WRITTEN.append((spark, path))
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table that materialize returned and nothing will read any more."""
+    path = table.scratch_path
+    for entry in [e for e in _WRITTEN if e[1] == path]:
+        _WRITTEN.remove(entry)
+        _delete(*entry)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def clear() -> int:
     """Remove every table that materialize wrote in this process; returns their number."""
     removed = 0
     while _WRITTEN:
-        spark, path = _WRITTEN.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(*_WRITTEN.pop())
             removed += 1
         except Exception:  # the session has ended, and its folder with it
             pass

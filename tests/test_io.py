@@ -137,3 +137,13 @@ def test_csv_entry_points(spark, frame, rows, tmp_path):
     assert readers.read_csv(spark, f"{root}/merged", SCHEMA).count() == 4
     assert rows(pipelines.dedup_csv(spark, f"{root}/in", SCHEMA, f"{root}/once", ["t"])) == [(4, 1, 3)]
     assert 1 in {r.i for r in readers.read_csv(spark, f"{root}/once", SCHEMA).collect()}
+
+
+def test_a_discarded_table_is_gone(spark, frame):
+    from corpusmill import scratch
+
+    one, two = (scratch.materialize(frame(ROWS, SCHEMA), "gone") for _ in range(2))
+    scratch.discard(one)
+    assert two.count() == 4
+    with pytest.raises(Exception):  # noqa: B017
+        spark.read.schema(SCHEMA).parquet(one.scratch_path).count()
