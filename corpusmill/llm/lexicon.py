@@ -12,13 +12,14 @@ and mostly covered by repeated runs of words (the pages' suffix automata), they
 stand many times as often as on other pages of the same declared language, while
 the words of any subject stand on both.
 
-Fitted on a bounded sample of the documents with a declared language.
+Fitted on all documents with a declared language, whose texts are read once
+(``blocks``). All counts are of the whole corpus and stay distributed; only the
+words that are found reach the driver, each of which stands in a fixed share of
+a language's documents or pages.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,12 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm import units
-from corpusmill.llm.langid import primary_label
-from corpusmill.scratch import materialize
+from corpusmill.llm import blocks, units
+from corpusmill.scratch import discard, materialize
 
-#: Bounds of the fit: sampled documents of a declared language, and their longest text.
-SAMPLE_ROWS, SAMPLE_CHARS = 500, 20_000
 #: Words of a unit from which it may be a sentence, units of a word from which it is known, and bound of its log-odds.
 SENTENCE_WORDS, KNOWN_UNITS, CLIP = 5, 5, 3.0
 #: Mean log-odds from which a unit is a sentence in the second round, and below which it is none.
@@ -53,66 +51,70 @@ class Lexicon:
     selling: frozenset[str]
 
 
-def _sample(docs: DataFrame, rows: int) -> DataFrame:
-    """(lang, text) of about rows documents of every declared language of docs (doc_id, text, lang), chosen by a hash of doc_id, as a table."""
-    told = docs.select("doc_id", "text", primary_label(F.col("lang")).alias("lang")).where(F.col("lang").rlike("^[a-z]{2,3}$") & (F.length("text") <= SAMPLE_CHARS))
-    sizes = dict(docs.select(primary_label(F.col("lang")).alias("lang")).where(F.col("lang").rlike("^[a-z]{2,3}$")).groupBy("lang").count().collect())  # two- or three-letter codes
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, rows / n))).otherwise(share)
-    chosen = told.where(F.pmod(F.xxhash64("doc_id", F.lit("lexicon")), F.lit(1_000_000)) < share * 1_000_000)
-    return materialize(chosen.select("lang", "text"), "lexicon-sample")
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys."""
+    keys = np.sort(keys)
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
 
 
-def _odds(known: float, expected: float, units_: float) -> float:
-    """Log-odds of a word between sentences and other units, against those of its languages' units.
-
-    known of its units_ units are sentences; expected would be, if it were any word.
-    """
-    x = math.log((known + 1) / (expected + 1)) - math.log((units_ - known + 1) / (units_ - expected + 1))
-    return max(-CLIP, min(CLIP, x))
+def _by_language(block: blocks.Block, lang_of: np.ndarray, **found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, counts) of a block; found: per count the documents it was found in and the words, and the documents of all that word '' counts."""
+    size = len(block.words)
+    words = pa.concat_arrays([block.words, pa.array([""])])
+    for lang in sorted({lang for lang in block.langs if lang}):
+        own = lang_of == lang
+        counts = [np.append(np.bincount(word[own[doc]], minlength=size), own[all_].sum()) for doc, word, all_ in found.values()]
+        at = np.flatnonzero(sum(counts))
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), words.take(pa.array(at)), *(pa.array(c[at].astype(np.int64)) for c in counts)], names=["lang", "word", *found])
 
 
-def _is_sentence(words: list[str], unit: str, odds: dict[str, float] | None) -> bool | None:
-    """Whether a unit is taken for a sentence; None if neither."""
+def _told(block: blocks.Block, odds: np.ndarray | None) -> np.ndarray:
+    """1 for the units that are taken for sentences, 0 for those taken for none, else -1."""
+    n = block.unit_words
     if odds is None:
-        return (True if len(words) > SENTENCE_WORDS else None) if units.ends_with_stop(unit) else False
-    mean = sum(odds.get(w, 0.0) for w in words) / len(words)
-    return True if len(words) >= SENTENCE_WORDS and mean > SURE else False if len(words) < SENTENCE_WORDS or mean < NONE else None
-
-
-def _count_words(odds: dict[str, float] | None):
-    """An Arrow function of (lang, text): (lang, word, sentences, others, docs) of a task's units and documents; word '' counts all."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pos: Counter = Counter()
-        neg: Counter = Counter()
-        docs: Counter = Counter()
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                here = set()
-                for unit in set(units.units_of(text)):
-                    words = units.tokens_of(unit)
-                    kind = _is_sentence(words, unit, odds) if words else None
-                    if kind is not None:
-                        found = [(lang, w) for w in {"", *words}]
-                        here.update(found)
-                        (pos if kind else neg).update(found)
-                docs.update(here)
-        yield _counted(sentences=pos, others=neg, docs=docs)
-
-    return count
-
-
-def _counted(**counts: Counter) -> pa.RecordBatch:
-    keys = list(set().union(*counts.values()))
-    columns = [pa.array([k[i] for k in keys], pa.string()) for i in (0, 1)] + [pa.array([c[k] for k in keys], pa.int64()) for c in counts.values()]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "word", *counts])
-
-
-def _learn(sample: DataFrame, odds: dict[str, float] | None) -> tuple[dict[str, float], frozenset[str]]:
-    """(word -> log-odds, the words that sentences are made of) of the sample's known words, units being told apart by odds."""
-    counted = sample.mapInArrow(_count_words(odds), "lang string, word string, sentences long, others long, docs long").groupBy("lang", "word").agg(F.sum("sentences").alias("a"), F.sum("others").alias("b"), F.sum("docs").alias("docs"))
+        stop = block.unit_bits & units.STOP > 0
+        told = np.where(stop, np.where(n > SENTENCE_WORDS, 1, -1), 0)
+    else:
+        mean = block.per_unit(odds) / np.maximum(n, 1)
+        told = np.where((n >= SENTENCE_WORDS) & (mean > SURE), 1, np.where((n < SENTENCE_WORDS) | (mean < NONE), 0, -1))
+    return np.where(n > 0, told, -1)
+
+
+#: What _count_words reads of a block.
+COUNTED = ("block", "words", "langs", "numbers", "doc_units", "unit_words", "unit_bits", "unit_first")
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, sentences, others, docs) of every block's units and documents, equal units of a document once; word '' counts all."""
+    for batch, row, block in blocks.of(batches):
+        odds = None
+        if "known" in batch.schema.names:  # (number, odds) of the block's known words
+            known = batch.column("known")[row].values
+            odds = np.zeros(len(block.words))
+            if known is not None:
+                odds[known.field("number").to_numpy()] = known.field("odds").to_numpy()
+        size = len(block.words)
+        told = _told(block, odds)
+        counted = (told >= 0) & (block.unit_first > 0)
+        mine = counted[block.unit_of]
+        of_unit = _firsts(block.unit_of[mine] * size + block.numbers[mine])  # once a unit
+        unit, word = of_unit // max(size, 1), of_unit % max(size, 1)
+        of_doc = _firsts(block.doc_of[unit] * size + word)
+        kind, doc = told[unit] == 1, block.doc_of[unit]
+        with_units = np.flatnonzero(block.per_doc(counted))
+        yield from _by_language(
+            block,
+            np.array(block.langs, object),
+            sentences=(doc[kind], word[kind], block.doc_of[counted & (told == 1)]),
+            others=(doc[~kind], word[~kind], block.doc_of[counted & (told == 0)]),
+            docs=(of_doc // max(size, 1), of_doc % max(size, 1), with_units),
+        )
+
+
+def _learn(table: DataFrame) -> DataFrame:
+    """(word, odds, share) of the known words of all blocks, as a table; table: the blocks, with known if units are to be told apart by that."""
+    counted = table.select(*COUNTED, *(c for c in table.columns if c == "known")).mapInArrow(_count_words, "lang string, word string, sentences long, others long, docs long").groupBy("lang", "word").agg(F.sum("sentences").alias("a"), F.sum("others").alias("b"), F.sum("docs").alias("docs"))
+    counted = materialize(counted, "lexicon-counts")  # read for the languages and for the words
     all_ = counted.where("word = ''").select("lang", (F.col("a") / (F.col("a") + F.col("b"))).alias("usual"), F.col("docs").alias("all_docs"))
     n = F.col("a") + F.col("b")
     by_word = (
@@ -121,57 +123,86 @@ def _learn(sample: DataFrame, odds: dict[str, float] | None) -> tuple[dict[str,
         .groupBy("word")
         .agg(F.sum("a").alias("a"), F.sum(n * F.col("usual")).alias("expected"), F.sum(n).alias("n"), F.max(F.col("docs") / F.col("all_docs")).alias("share"))
     )
-    rows = by_word.where(F.col("n") >= KNOWN_UNITS).collect()  # the known words of the bounded sample
-    known = {r.word: _odds(r.a, r.expected, r.n) for r in rows}
-    return known, frozenset(r.word for r in rows if known[r.word] >= CLAUSE_ODDS and r.share >= CLAUSE_DOCS)
+    # log-odds of a word between sentences and other units, against those of its languages' units:
+    # a of its n units are sentences; expected would be, if it were any word
+    a, expected, units_ = F.col("a"), F.col("expected"), F.col("n")
+    odds = F.log((a + 1) / (expected + 1)) - F.log((units_ - a + 1) / (units_ - expected + 1))
+    known = by_word.where(units_ >= KNOWN_UNITS).select("word", F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), odds)).alias("odds"), "share")
+    learned = materialize(known, "lexicon-odds")
+    discard(counted)
+    return learned
+
+
+def _with_known(table: DataFrame, odds: DataFrame) -> DataFrame:
+    """The blocks with known, the (number, odds) of their known words: joined by word, so that the words of the corpus are on no single machine."""
+    parts = max(table.count() // blocks.TASK_BLOCKS, 1)
+    numbered = table.select("block", F.posexplode("words").alias("number", "word"))
+    # bounded: as many as a block has distinct words
+    known = numbered.join(odds.select("word", "odds"), "word").repartition(parts, "block").groupBy("block").agg(F.collect_list(F.struct("number", "odds")).alias("known"))
+    return table.select(*COUNTED).repartition(parts, "block").join(known, "block", "left")
 
 
 def _page_words(clause: frozenset[str]):
-    """An Arrow function of (lang, text): (lang, word, bare, other) pages of a task with the word; word '' counts the pages."""
+    """An Arrow function of blocks: (lang, word, bare, other) pages with the word; word '' counts the pages."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from corpusmill.llm.spam import covered
 
         lexicon = Lexicon(clause, frozenset())
-        bare: Counter = Counter()
-        other: Counter = Counter()
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = units.units_of(text)
-                words = [units.tokens_of(u) for u in parts]
-                plain = np.array([units.judge(u, lexicon)[0] != units.SENTENCE for u in parts], bool)
-                chars = np.array(list(map(len, parts)), np.int64)
-                flat = [w for ws in words for w in ws]
-                outside = np.repeat(plain, list(map(len, words)))
-                page = False
-                if outside.sum() >= BARE_WORDS and chars[plain].sum() > BARE * chars.sum():
-                    repeated = covered(flat) & outside
-                    page = repeated.sum() >= COVERED * outside.sum()
-                if page:
-                    bare.update({(lang, ""), *((lang, w) for w, r in zip(flat, repeated) if r)})
-                else:
-                    other.update({(lang, ""), *((lang, w) for w in flat)})
-        yield _counted(bare=bare, other=other)
+        for _, _, block in blocks.of(batches):
+            size = len(block.words)
+            plain = block.kinds(lexicon) != units.SENTENCE
+            chars, begin = block.unit_chars, block.doc_words()
+            declared = np.array([bool(lang) for lang in block.langs], bool)
+            outside = np.repeat(plain, block.unit_words)
+            outside_words = block.per_doc(plain * block.unit_words)
+            page = declared & (outside_words >= BARE_WORDS) & (block.per_doc(plain * chars) > BARE * block.per_doc(chars))
+            telling = np.zeros(len(block.numbers), bool)
+            for i in np.flatnonzero(page):
+                at = slice(begin[i], begin[i + 1])
+                telling[at] = covered(block.numbers[at].tolist()) & outside[at]
+                page[i] = telling[at].sum() >= COVERED * outside_words[i]
+            doc = block.doc_of[block.unit_of]
+            bare, other = (_firsts(doc[at] * size + block.numbers[at]) for at in (page[doc] & telling, ~page[doc]))
+            yield from _by_language(
+                block,
+                np.array(block.langs, object),
+                bare=(bare // max(size, 1), bare % max(size, 1), np.flatnonzero(page)),
+                other=(other // max(size, 1), other % max(size, 1), np.flatnonzero(~page)),
+            )
 
     return count
 
 
-def _selling(sample: DataFrame, clause: frozenset[str]) -> frozenset[str]:
-    counted = sample.mapInArrow(_page_words(clause), "lang string, word string, bare long, other long").groupBy("lang", "word").agg(F.sum("bare").alias("bare"), F.sum("other").alias("other"))
+def _selling(table: DataFrame, clause: frozenset[str]) -> frozenset[str]:
+    counted = table.mapInArrow(_page_words(clause), "lang string, word string, bare long, other long").groupBy("lang", "word").agg(F.sum("bare").alias("bare"), F.sum("other").alias("other"))
+    counted = materialize(counted, "lexicon-counts")
     pages = counted.where("word = ''").select("lang", F.col("bare").alias("bare_pages"), F.col("other").alias("other_pages"))
     share, usual = F.col("bare") / F.col("bare_pages"), F.col("other") / F.greatest("other_pages", F.lit(1))
     found = counted.where((F.col("word") != "") & (F.col("bare") >= SELLING_PAGES)).join(F.broadcast(pages), "lang")  # a row per language
-    words = found.where((share >= SELLING_SHARE) & (share >= SELLING_TIMES * usual)).select("word").distinct().collect()
+    words = found.where((share >= SELLING_SHARE) & (share >= SELLING_TIMES * usual)).select("word").distinct().collect()  # of large shares, so few a language
+    discard(counted)
     return frozenset(r.word for r in words if r.word.isalpha() and (len(r.word) > 1 or units.HAN.match(r.word)))
 
 
-def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
-    """A lexicon of docs (doc_id, text, lang), of which about sample_rows of every declared language are read.
+def fit_blocks(table: DataFrame) -> Lexicon:
+    """A lexicon of all documents with a declared language in a table of blocks.read."""
+    first = _learn(table)
+    second = _learn(_with_known(table, first))
+    rows = second.where((F.col("odds") >= CLAUSE_ODDS) & (F.col("share") >= CLAUSE_DOCS)).select("word").collect()  # of large shares, so few a language
+    clause = frozenset(r.word for r in rows)
+    for learned in (first, second):
+        discard(learned)
+    return Lexicon(clause, _selling(table, clause) - clause)
+
+
+def fit(docs: DataFrame, block_words: int = blocks.BLOCK_WORDS) -> Lexicon:
+    """A lexicon of all docs (doc_id, text, lang) with a declared language and text, whatever their number and length.
 
     Documents without a declared language or text are not read. Without any,
     the lexicon is empty, and no unit is a sentence.
     """
-    sample = _sample(docs, sample_rows)
-    first, _ = _learn(sample, None)
-    _, clause = _learn(sample, first)
-    return Lexicon(clause, _selling(sample, clause) - clause)
+    table = blocks.read(docs, declared_only=True, block_words=block_words)
+    learned = fit_blocks(table)
+    discard(table)
+    return learned

@@ -1,4 +1,5 @@
 import itertools
+import math
 import os
 import random
 from collections import Counter
@@ -503,6 +504,67 @@ def test_lexicon_of_nothing(frame):
         assert lexicon.fit(frame(rows_, "doc_id long, text string, lang string")) == lexicon.Lexicon(frozenset(), frozenset())
 
 
+def _lexicon_by_brute_force(docs):
+    """The lexicon of (doc_id, text, lang) rows, counted one document after the other."""
+    from corpusmill.llm import lexicon
+
+    odds = None
+    for _ in range(2):
+        sentences, others, in_docs = Counter(), Counter(), Counter()
+        for _, text, lang in docs:
+            here = set()
+            for unit in set(units.units_of(text)):
+                words = units.tokens_of(unit)
+                if odds is None:
+                    told = (len(words) > 5 or None) if units.ends_with_stop(unit) else False
+                else:
+                    mean = sum(odds.get(w, 0) for w in words) / len(words) if words else 0
+                    told = True if len(words) >= 5 and mean > 0.5 else False if len(words) < 5 or mean < 0 else None
+                if words and told is not None:
+                    (sentences if told else others).update((lang, w) for w in {"", *words})
+                    here.update((lang, w) for w in {"", *words})
+            in_docs.update(here)
+        n, a, expected, share = Counter(), Counter(), Counter(), Counter()
+        for lang, w in in_docs:
+            both = sentences[lang, w] + others[lang, w]
+            n[w], a[w] = n[w] + both, a[w] + sentences[lang, w]
+            expected[w] += both * sentences[lang, ""] / (sentences[lang, ""] + others[lang, ""])
+            share[w] = max(share[w], in_docs[lang, w] / in_docs[lang, ""])
+        odds = {w: max(-3, min(3, math.log((a[w] + 1) / (expected[w] + 1)) - math.log((n[w] - a[w] + 1) / (n[w] - expected[w] + 1)))) for w in n if w and n[w] >= 5}
+    clause = frozenset(w for w in odds if odds[w] >= 1.3 and share[w] >= 0.06)
+    bare, other = Counter(), Counter()
+    for _, text, lang in docs:
+        parts = units.units_of(text)
+        plain = [units.judge(u, lexicon.Lexicon(clause, frozenset()))[0] != units.SENTENCE for u in parts]
+        words = [(w, p) for u, p in zip(parts, plain) for w in units.tokens_of(u)]
+        outside = sum(p for _, p in words)
+        repeated = [w for (w, p), c in zip(words, spam.covered([w for w, _ in words])) if p and c]
+        if outside >= 10 and sum(len(u) for u, p in zip(parts, plain) if p) > 0.5 * sum(map(len, parts)) and len(repeated) >= 0.25 * outside:
+            bare.update((lang, w) for w in {"", *repeated})
+        else:
+            other.update((lang, w) for w in {"", *(w for w, _ in words)})
+    share = {(lang, w): k / bare[lang, ""] for (lang, w), k in bare.items() if w and k >= 3}
+    selling = {w for (lang, w), x in share.items() if x >= 0.08 and x >= 8 * other[lang, w] / max(other[lang, ""], 1)}
+    return lexicon.Lexicon(clause, frozenset(w for w in selling if w.isalpha() and len(w) > 1) - clause)
+
+
+@pytest.mark.parametrize("block_words", [5000, 10**9])
+def test_lexicon_counts_every_document(frame, block_words):
+    from corpusmill.llm import lexicon
+
+    docs = []
+    for seed, lang, letters in ((5, "fi", "aeiouyäöklmnprstvhj"), (6, "ru", "аеиоуыябвгдклмнпрст")):
+        prose, table, keywords = _made_up_language(seed, letters)
+        rare = lambda i: " Ja " + prose().lower() if i % 15 == 0 else ""  # noqa: B023, E731  a word near the least share
+        texts = [prose() + rare(i) for i in range(640)] + [prose() + "\n" + table() for _ in range(20)] + [table() for _ in range(10)]
+        texts += ["\n".join(keywords() for _ in range(40)) for _ in range(4)]  # beyond 20,000 characters
+        docs += [(len(docs) + i, t, lang) for i, t in enumerate(texts)]
+    assert max(len(t) for _, t, _ in docs) > 20_000
+    expected = _lexicon_by_brute_force(docs)
+    assert expected.clause and expected.selling
+    assert lexicon.fit(frame(docs, "doc_id long, text string, lang string"), block_words=block_words) == expected
+
+
 def test_rare_languages_are_learned_and_wrong_labels_are_not():
     source = random.Random(31)
     counts, docs = {}, {}
