@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm import units
+from corpusmill.llm import blocks, units
 
 #: Words of a repeated run that count as covered.
 RUN = 2
@@ -127,6 +128,13 @@ def covered(words: list[str], run: int = RUN, stretch: int = STRETCH) -> np.ndar
     return found
 
 
+def _is_spam(kind: np.ndarray, share: np.ndarray, counts: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """The units that are stuffing, by kind, covered share, words and whether they are marked list items."""
+    spam = (kind == units.LINKS) | (kind == units.TAGS) | ((kind == units.SELLING) & (share >= SELLING_COVERED))
+    # marked list items may repeat without being keywords
+    return spam | (kind != units.SENTENCE) & (share >= COVERED) & (counts >= 4) & (kind != units.JUNK) & ~marked
+
+
 def page(text: str, lexicon=None) -> tuple[int, float, float, float]:
     """(chars, covered, clauseless, spam_share) of a text: its characters, and shares of those in units."""
     parts = units.units_of(text)
@@ -146,10 +154,8 @@ def page(text: str, lexicon=None) -> tuple[int, float, float, float]:
     chars = np.array([len(u.strip()) for u in parts], np.float64)
     kind = np.array(kinds)
     bare = kind != units.SENTENCE
-    spam = (kind == units.LINKS) | (kind == units.TAGS) | ((kind == units.SELLING) & (share >= SELLING_COVERED))
-    # marked list items may repeat without being keywords
     marked = np.array([k == units.ITEM and units.is_marked_item(u) for k, u in zip(kinds, parts)])
-    spam |= bare & (share >= COVERED) & (np.array(counts) >= 4) & (kind != units.JUNK) & ~marked
+    spam = _is_spam(kind, share, np.array(counts), marked)
     total = chars.sum()
     return len(text), float((chars * share).sum() / total), float(chars[bare].sum() / total), float(chars[spam].sum() / total)
 
@@ -175,6 +181,32 @@ def measure(docs: DataFrame, lexicon=None) -> DataFrame:
     return docs.select("doc_id", "text").where(F.col("text").isNotNull()).mapInArrow(_measure(lexicon), _PAGE)
 
 
+def _measure_blocks(lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, block in blocks.of(batches):
+            begin = block.doc_words()
+            parts = [covered(block.numbers[a:b].tolist()) for a, b in zip(begin[:-1], begin[1:])]
+            sizes = pc.utf8_length(block.words).to_numpy(zero_copy_only=False)[block.numbers].astype(np.float64)
+            size = len(block.unit_words)
+            hits = np.bincount(block.unit_of, sizes * np.concatenate(parts), size)
+            share = hits / np.maximum(np.bincount(block.unit_of, sizes, size), 1)
+            kind = block.kinds(lexicon)
+            marked = (kind == units.ITEM) & (block.unit_bits & units.MARKED > 0)
+            spam = _is_spam(kind, share, block.unit_words, marked)
+            chars = block.unit_visible
+            total = np.maximum(block.per_doc(chars), 1)
+            shares = [block.per_doc(chars * x) / total for x in (share, kind != units.SENTENCE, spam)]
+            columns = [block.doc_ids, pa.array(block.chars, pa.int64()), *(pa.array(x, pa.float64()) for x in shares)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "chars", "covered", "clauseless", "spam_share"])
+
+    return run
+
+
+def measure_blocks(table: DataFrame, lexicon) -> DataFrame:
+    """What measure returns, of a table of blocks.read, whose texts aren't read again."""
+    return table.mapInArrow(_measure_blocks(lexicon), _PAGE)
+
+
 def stuffed(measured: DataFrame) -> DataFrame:
     """The measured pages of at least MIN_CHARS characters with more than SPAM_SHARE of stuffing."""
     return measured.where((F.col("chars") >= MIN_CHARS) & (F.col("spam_share") > SPAM_SHARE))

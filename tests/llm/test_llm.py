@@ -565,6 +565,22 @@ def test_lexicon_counts_every_document(frame, block_words):
     assert lexicon.fit(frame(docs, "doc_id long, text string, lang string"), block_words=block_words) == expected
 
 
+ODD_UNITS = ["see https://a.b/c and then the best of the lot was that", "#buyCheapThings", "SKU-12 and the best of it", "的了不，是在。", "- one of the items is this", "and/or", "xkcd bcdfg hjklmnp", "", "....", "buy cheap buy cheap buy cheap buy cheap", "The cat is on the mat and the dog was at the door.", "1) buy the best of the best and the rest of the best"]
+
+
+def test_pages_of_blocks_equal_pages_of_texts(frame):
+    from corpusmill.llm import blocks, lexicon
+
+    source = random.Random(8)
+    texts = ["\n".join(source.choice(ODD_UNITS) for _ in range(source.randint(0, 12))) for _ in range(300)]
+    docs = frame([(i, t, "en" if i % 3 else None) for i, t in enumerate(texts)] + [(None, "buy cheap buy cheap", "EN-gb"), (7, "", "en"), (8, None, "en")], "doc_id long, text string, lang string")
+    known = lexicon.Lexicon(frozenset("the of and is was that on at 的 是".split()), frozenset(["buy", "cheap", "best"]))
+    for words_ in (1, 40, 10**6):
+        got, want = (sorted(map(tuple, df.collect()), key=str) for df in (spam.measure_blocks(blocks.read(docs, block_words=words_), known), spam.measure(docs, known)))
+        assert [r[:2] for r in got] == [r[:2] for r in want] and len(got) == 302
+        assert all(a == pytest.approx(b) for x, y in zip(got, want) for a, b in zip(x[2:], y[2:]))
+
+
 def test_rare_languages_are_learned_and_wrong_labels_are_not():
     source = random.Random(31)
     counts, docs = {}, {}
