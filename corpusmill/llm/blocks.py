@@ -11,7 +11,7 @@ words; a document is never parted, and none is left out.
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +26,11 @@ from corpusmill.scratch import materialize
 #: Words from which a block is full, and blocks that a task of a join reads.
 BLOCK_WORDS, TASK_BLOCKS = 500_000, 2
 
-#: words: the distinct words, whose places are their numbers. Packed: numbers, the words in order; of every document its units; of every
+#: words: the distinct words, whose places are their numbers; of_text: the numbers that a function gives for every text. Packed: numbers, the words in order; of every document its units; of every
 #: unit its words, characters, visible characters, traits, and whether it is the first of its kind in the document.
-SCHEMA = "block long, words array<string>, doc_ids array<long>, langs array<string>, chars array<long>, numbers binary, doc_units binary, unit_words binary, unit_chars binary, unit_visible binary, unit_kind binary, unit_bits binary, unit_first binary"
+SCHEMA = "block long, words array<string>, doc_ids array<long>, langs array<string>, chars array<long>, of_text array<long>, numbers binary, doc_units binary, unit_words binary, unit_chars binary, unit_visible binary, unit_kind binary, unit_bits binary, unit_first binary"
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
-_LISTS = {"words": pa.list_(pa.string()), "doc_ids": pa.list_(pa.int64()), "langs": pa.list_(pa.string()), "chars": pa.list_(pa.int64())}
+_LISTS = {"words": pa.list_(pa.string()), "doc_ids": pa.list_(pa.int64()), "langs": pa.list_(pa.string()), "chars": pa.list_(pa.int64()), "of_text": pa.list_(pa.int64())}
 
 
 class _Numbers(dict):
@@ -42,9 +42,9 @@ class _Numbers(dict):
 class _Writer:
     """The block that documents are being added to."""
 
-    def __init__(self) -> None:
-        self.words = _Numbers()
-        self.doc_ids, self.langs, self.chars = [], [], []
+    def __init__(self, of_text: Callable[[str], list[int]] | None) -> None:
+        self.words, self.count = _Numbers(), of_text
+        self.doc_ids, self.langs, self.chars, self.of_text = [], [], [], []
         self.numbers, self.doc_units = array("i"), array("i")
         self.unit_words, self.unit_chars, self.unit_visible = array("i"), array("i"), array("i")
         self.unit_kind, self.unit_bits, self.unit_first = array("B"), array("B"), array("B")
@@ -67,6 +67,8 @@ class _Writer:
         self.doc_ids.append(doc_id)
         self.langs.append(lang)
         self.chars.append(len(text))
+        if self.count:
+            self.of_text += self.count(text)
 
     def row(self, block: int) -> pa.RecordBatch:
         values = {"block": block, "words": list(self.words)} | {c: getattr(self, c) for c in NAMES[2:]}
@@ -74,32 +76,33 @@ class _Writer:
         return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
 
-def _read(block_words: int):
+def _read(block_words: int, of_text: Callable[[str], list[int]] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        writer = _Writer()
+        writer = _Writer(of_text)
         for batch in batches:
             for doc in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 writer.add(*doc)
                 if len(writer.numbers) >= block_words:
                     yield writer.row(block)
-                    block, writer = block + 1, _Writer()
+                    block, writer = block + 1, _Writer(of_text)
         if writer.doc_ids:
             yield writer.row(block)
 
     return run
 
 
-def read(docs: DataFrame, declared_only: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
+def read(docs: DataFrame, declared_only: bool = False, block_words: int = BLOCK_WORDS, of_text: Callable[[str], list[int]] | None = None) -> DataFrame:
     """The blocks of docs (doc_id, text, lang) with text, as a table; lang is null unless it is a declared language.
 
-    declared_only leaves out the documents without a declared language.
+    declared_only leaves out the documents without a declared language; of_text
+    gives as many numbers for every text, which are kept.
     """
     lang = primary_label(F.col("lang"))
     told = docs.select("doc_id", "text", F.when(lang.rlike("^[a-z]{2,3}$"), lang).alias("lang")).where(F.col("text").isNotNull())  # two- or three-letter codes
     if declared_only:
         told = told.where(F.col("lang").isNotNull())
-    return materialize(told.mapInArrow(_read(block_words), SCHEMA), "blocks")
+    return materialize(told.mapInArrow(_read(block_words, of_text), SCHEMA), "blocks")
 
 
 class Block:

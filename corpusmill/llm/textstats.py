@@ -16,12 +16,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm import units
+from corpusmill.llm import blocks, units
 
 CHUNK_CHARS = 1 << 16
 #: Chunk states merged at a time.
@@ -61,10 +63,15 @@ def _ends(lines: list[str]) -> list[str]:
     return [line.rstrip(_CLOSING)[-1:] for line in lines]
 
 
+def count_text(text: str) -> list[int]:
+    """The SUMS of a whole text that aren't OF_UNITS."""
+    ends = [e for e in _ends(text.split("\n")) if e]
+    return [len(text), len(_SYMBOL.findall(text)), len(ends), sum(e in _STOPS for e in ends)]
+
+
 def count(text: str, lexicon=None) -> list[int]:
     """SUMS of a whole text."""
-    ends = [e for e in _ends(text.split("\n")) if e]
-    return [len(text), len(_SYMBOL.findall(text)), len(ends), sum(e in _STOPS for e in ends), *count_units(text, lexicon)]
+    return [*count_text(text), *count_units(text, lexicon)]
 
 
 def chunk_state(text: str, lexicon=None) -> tuple:
@@ -124,6 +131,21 @@ def _count_whole(lexicon):
     return run
 
 
+def _count_blocks(chunk_chars: int, lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, block in blocks.of(batches):
+            kind = block.kinds(lexicon)
+            sizes = pc.utf8_length(block.words).to_numpy(zero_copy_only=False)
+            of_units = [block.unit_words, block.per_unit(sizes), block.per_unit(block.among(lexicon.clause)), kind == units.HEADING]
+            of_units += [block.unit_visible * (kind == k) for k in range(len(units.KINDS))]
+            of_text = np.array(block.of_text, np.int64).reshape(len(block.chars), -1).T
+            short = pa.array(np.array(block.chars, np.int64) <= chunk_chars)
+            columns = [block.doc_ids, *map(pa.array, of_text), *(pa.array(block.per_doc(x).astype(np.int64)) for x in of_units)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *SUMS]).filter(short)
+
+    return run
+
+
 def _cut(chunk_chars: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,16 +183,23 @@ def _merge_group(last: bool, lexicon):
     return run
 
 
-def sums(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, lexicon=None) -> DataFrame:
-    """doc_id and SUMS of every document of docs (doc_id unique, text) whose id and text aren't null; lexicon: of lexicon.fit."""
+def sums(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, lexicon=None, table: DataFrame | None = None) -> DataFrame:
+    """doc_id and SUMS of every document of docs (doc_id unique, text) whose id and text aren't null; lexicon: of lexicon.fit.
+
+    table: docs by blocks.read with count_text; with it and a lexicon, only the
+    texts that are split into chunks are read again.
+    """
     present = docs.select("doc_id", "text").where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    whole = present.where(F.length("text") <= chunk_chars).mapInArrow(_count_whole(lexicon), _STATE)
+    if table is None:
+        whole = present.where(F.length("text") <= chunk_chars).mapInArrow(_count_whole(lexicon), _STATE).select("doc_id", *SUMS)
+    else:
+        whole = table.mapInArrow(_count_blocks(chunk_chars, lexicon), "doc_id long, " + ", ".join(f"{c} long" for c in SUMS)).where(F.col("doc_id").isNotNull())
     chunks = present.where(F.length("text") > chunk_chars).mapInArrow(_cut(chunk_chars), "doc_id long, chunk long, text string")
     # chunks of one document are counted wherever there is room
     states = chunks.repartition("doc_id", "chunk").mapInArrow(_count_chunks(lexicon), _STATE)
     grouped = states.groupBy("doc_id", F.floor(F.col("chunk") / GROUP).alias("g")).applyInPandas(_merge_group(False, lexicon), _STATE)
     merged = grouped.groupBy("doc_id").applyInPandas(_merge_group(True, lexicon), _STATE)
-    return whole.unionByName(merged).select("doc_id", *SUMS)
+    return whole.unionByName(merged.select("doc_id", *SUMS))
 
 
 def statistics(summed: DataFrame) -> DataFrame:

@@ -581,6 +581,19 @@ def test_pages_of_blocks_equal_pages_of_texts(frame):
         assert all(a == pytest.approx(b) for x, y in zip(got, want) for a, b in zip(x[2:], y[2:]))
 
 
+@pytest.mark.parametrize("chunk_chars", [60, 1 << 16])
+def test_sums_of_blocks_equal_sums_of_texts(frame, rows, chunk_chars):
+    from corpusmill.llm import blocks, lexicon
+
+    source = random.Random(9)
+    texts = [source.choice("\n ").join(source.choice(ODD_UNITS) for _ in range(source.randint(0, 12))) for _ in range(200)]
+    docs = frame([(i, t, "en" if i % 3 else None) for i, t in enumerate(texts)] + [(None, "buy cheap buy cheap", "en"), (998, "", "en"), (999, None, "en")], "doc_id long, text string, lang string")
+    known = lexicon.Lexicon(frozenset("the of and is was that on at 的 是".split()), frozenset(["buy", "cheap", "best"]))
+    table = blocks.read(docs, block_words=40, of_text=textstats.count_text)
+    expected = sorted([(i, *textstats.count(t, known)) for i, t in [*enumerate(texts), (998, "")]], key=str)
+    assert rows(textstats.sums(docs, chunk_chars, known, table)) == expected
+
+
 def test_rare_languages_are_learned_and_wrong_labels_are_not():
     source = random.Random(31)
     counts, docs = {}, {}
